@@ -147,7 +147,9 @@ def nation_zones(spark: SparkSession, sf: str) -> DataFrame:
 PAGE = 1000
 
 
-def saved_responses(spark: SparkSession, sf: str, failing_hours: bool = False) -> DataFrame:
+def saved_responses(
+    spark: SparkSession, sf: str, failing_hours: bool = False, at: Column | None = None
+) -> DataFrame:
     """Events packed into response pages per hour, all feeds' fields on each record.
 
     A page takes the events of one hour from a run of 1,000 ids, so it holds
@@ -177,7 +179,7 @@ def saved_responses(spark: SparkSession, sf: str, failing_hours: bool = False) -
     fails = F.substring("period", 12, 2) == "10" if failing_hours else F.lit(False)
     return pages.select(
         F.lit("run-1").alias("run_id"),
-        load_time().alias("request_timestamp"),
+        (load_time() if at is None else at).alias("request_timestamp"),
         F.col("period").alias("target_dt"),
         (F.col("chunk") * PAGE).cast("bigint").alias("offset_start"),
         F.when(fails, F.lit(500)).otherwise(F.lit(200)).cast("bigint").alias("status_code"),

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from zephyrload.functions.records import PAGE_SIZE
 from zephyrload.operators.dedupe import keep_first
 from zephyrload.schemas import SAVED_RESPONSE
 from zephyrload.sources.landing import landing_rows
@@ -19,10 +20,12 @@ from zephyrload.sources.landing import landing_rows
 _PAYLOAD = "raw_response"
 
 
-def append_new_responses(spark: SparkSession, arrivals: str, log: str, checkpoint: str) -> None:
+def append_new_responses(
+    spark: SparkSession, arrivals: str, log: str, checkpoint: str, page_size: int = PAGE_SIZE
+) -> None:
     """Land all response files that arrived since the last call."""
     responses = spark.readStream.schema(SAVED_RESPONSE).json(arrivals)
-    rows = landing_rows(responses, strict=False)
+    rows = landing_rows(responses, strict=False, page_size=page_size)
     stored = rows.withColumn(_PAYLOAD, F.to_json(_PAYLOAD)).withColumn(
         "target_day", F.substring("target_dt", 1, 10)
     )
