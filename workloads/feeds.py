@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zephyrload import schemas
 from zephyrload.functions.records import row_key
@@ -26,8 +27,15 @@ DEMAND_ZONES = {"purchase": "J", "click": "K", "signup": "I", "error": "A", "vie
 WEATHER_ZONES = {"view": "J", "click": "K", "signup": "I", "error": "A", "purchase": "B"}
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A benchmark table; its schema is read from the file once per process."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def user_zone(user: str = "user_id") -> Column:

@@ -11,7 +11,7 @@ from zephyrload.functions import measures
 from zephyrload.functions.records import row_key, zone_letter
 from zephyrload.functions.timekeys import hour_key, local_date, nearest_hour_key
 from zephyrload.operators import lookups
-from zephyrload.operators.steps import TrailingWindow, demand_statistics, weather_statistics
+from zephyrload.operators.steps import TrailingWindow, demand_measures, hourly_demand
 from zephyrload.plans import bronze, gold, refresh, silver
 from zephyrload.plans.bronze import bronze_feed
 from zephyrload.session import fresh_path
@@ -445,13 +445,14 @@ def p13_p17_measures(spark, sf):
         measures.band_label(measures.band_low(balance)).alias("band"),
         measures.is_complete(F.col("c_nationkey")).alias("complete"),
         measures.uplift(balance, F.col("c_nationkey")).alias("uplift"),
-        measures.rounded(measures.uplift_percent(balance, F.col("c_nationkey")), 6).alias("uplift_percent"),
+        measures.uplift_percent(balance, F.col("c_nationkey")).alias("uplift_percent"),
     )
 
 
 def a4_demand_daily(spark, sf):
-    fact = feeds.demand_fact(spark, sf).withColumn("local_day", local_date(F.col("period_timestamp")))
-    daily = demand_statistics(fact, ["local_day", "sub_ba_code"], "value_mwh")
+    hourly = hourly_demand(feeds.demand_fact(spark, sf), ["period_timestamp", "sub_ba_code"])
+    by_day = hourly.withColumn("local_day", local_date(F.col("period_timestamp")))
+    daily = by_day.groupBy("local_day", "sub_ba_code").agg(*demand_measures())
     return rounded(daily, "total_demand_mwh", "avg_hourly_demand_mwh")
 
 
@@ -551,7 +552,7 @@ l as (select *, cast(floor(x / 5) * 5 as integer) as low from b)
 select c_custkey, case when x > 0 then greatest(65 - x, 0) end as heating,
   case when x > 0 then greatest(x - 65, 0) end as cooling, low as band_low,
   low || '-' || (low + 5) || 'F' as band, c_nationkey >= 23 as complete, x - c_nationkey as uplift,
-  round((x - c_nationkey) / nullif(c_nationkey, 0) * 100, 6) as uplift_percent
+  (x - c_nationkey) / nullif(c_nationkey, 0) * 100 as uplift_percent
 from l""",
     "f1_zone_filter": f"""
 select md5(concat_ws('-', {HOUR}, 'ZONJ', user_id)) as srd_id, {HOUR} as period_timestamp,

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Key format and the calendar the daily models report on.
-HOUR_KEY_FORMAT = "yyyy-MM-dd'T'HH"
-HOUR_KEY_STRPTIME = "%Y-%m-%dT%H"
+HOUR_KEY_FORMAT = "%Y-%m-%dT%H"
 LOCAL_ZONE = "America/New_York"
 
 _TEXT_WITH_OFFSET = r"\d\d:\d\d.*(Z|[+-]\d\d(:?\d\d)?)$"
@@ -49,8 +48,9 @@ def utc_from_text(text: Column) -> Column:
 
 def hour_key(utc: Column) -> Column:
     """Key of the hour that contains ``utc`` (TIMESTAMP_NTZ)."""
-    text = utc.cast("string")
-    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 2))
+    hour = F.hour(utc)
+    mark = F.when(hour < 10, F.lit("T0")).otherwise(F.lit("T"))
+    return F.concat(utc.cast("date").cast("string"), mark, hour.cast("string"))
 
 
 def nearest_hour_key(utc: Column) -> Column:
@@ -59,8 +59,8 @@ def nearest_hour_key(utc: Column) -> Column:
 
 
 def hour_of_key(key: Column) -> Column:
-    """Hour key back to UTC wall clock."""
-    return F.to_timestamp_ntz(key, F.lit(HOUR_KEY_FORMAT))
+    """Hour key back to UTC wall clock; text that is no hour key fails."""
+    return F.concat(key, F.lit(":00")).cast("timestamp_ntz")
 
 
 def local_date(key: Column, zone: str = LOCAL_ZONE) -> Column:
@@ -85,18 +85,10 @@ def utc_day_of_key(key: Column) -> Column:
 
 def hour_spine(spark: SparkSession, start: str, end: str, name: str = "hour_key") -> DataFrame:
     """T-SPINE: every hour key from ``start`` to ``end``, both included."""
-    first = datetime.strptime(start, HOUR_KEY_STRPTIME)
-    last = datetime.strptime(end, HOUR_KEY_STRPTIME)
+    first = datetime.strptime(start, HOUR_KEY_FORMAT)
+    last = datetime.strptime(end, HOUR_KEY_FORMAT)
     hours = int((last - first).total_seconds() // 3600) + 1
     at = F.expr(f"TIMESTAMP_NTZ'{first:%Y-%m-%d %H}:00:00'") + F.make_dt_interval(
         F.lit(0), F.col("id").cast("int")
     )
     return spark.range(max(hours, 0)).select(hour_key(at).alias(name))
-
-
-def hours_between(start_key: Column, end_key: Column) -> Column:
-    """Array of the hour keys from ``start_key`` to ``end_key``, both included."""
-    return F.transform(
-        F.sequence(hour_of_key(start_key), hour_of_key(end_key), F.expr("INTERVAL 1 HOUR")),
-        hour_key,
-    )

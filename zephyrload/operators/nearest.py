@@ -27,27 +27,35 @@ SLACK = 1e-14  # squared chord; far above rounding, keeps equal distances in pla
 _AXES = ("x", "y", "z")
 
 
-def _cube(level: int) -> Column:
-    """Id of the cube of a point (columns x, y, z) at a level."""
-    parts = []
-    for axis in _AXES:
-        finest = F.least(
-            F.floor((F.col(axis) + 1.0) * float(2 ** (FINEST - 1))), F.lit(2**FINEST - 1)
-        )
-        parts.append(F.shiftright(F.greatest(finest, F.lit(0)).cast("long"), FINEST - level))
-    return F.shiftleft(parts[0], 2 * FINEST).bitwiseOR(F.shiftleft(parts[1], FINEST)).bitwiseOR(
-        parts[2]
+def _finest_cube() -> Column:
+    """Id of the smallest cube around x, y, z: the bits of the three axes in turn."""
+    top = F.lit(2**FINEST - 1)
+    parts = [
+        F.least(F.floor((F.col(axis) + 1.0) * float(2 ** (FINEST - 1))), top).cast("long")
+        for axis in _AXES
+    ]
+    return (
+        F.shiftleft(parts[0], 2 * FINEST)
+        .bitwiseOR(F.shiftleft(parts[1], FINEST))
+        .bitwiseOR(parts[2])
     )
 
 
+def _cube(level: int) -> Column:
+    """The enclosing cube at a level: the leading bits of every axis."""
+    leading = (2**level - 1) << (FINEST - level)
+    mask = leading << (2 * FINEST) | leading << FINEST | leading
+    return F.col("finest").bitwiseAND(F.lit(mask))
+
+
 def _chord_bounds(cube: Column, level: int) -> tuple[Column, Column]:
     """Least and greatest squared distance from x, y, z to a cube."""
     side = 2.0 / 2**level
-    mask = F.lit(2**FINEST - 1)
+    axis_bits = F.lit(2**FINEST - 1)
     near, far = [], []
     for position, axis in enumerate(_AXES):
-        index = F.shiftright(cube, FINEST * (2 - position)).bitwiseAND(mask)
-        low = index * side - 1.0
+        index = F.shiftright(cube, FINEST * (2 - position)).bitwiseAND(axis_bits)
+        low = index * (2.0 / 2**FINEST) - 1.0
         at = F.col(axis)
         outside = F.greatest(low - at, at - (low + side), F.lit(0.0))
         reach = F.greatest(F.abs(at - low), F.abs(at - (low + side)))
@@ -74,28 +82,24 @@ def _placed(df: DataFrame) -> DataFrame:
 
 
 def _levels(sites: DataFrame) -> list[int]:
-    """Levels to walk: from the last with one occupied cube to a sparse one."""
+    """Levels to walk: from the last with one occupied cube to a sparse one.
+
+    Stations are counted per cube and level by Spark; one row per level, eleven
+    whatever their number, comes back.
+    """
     levels = list(range(0, FINEST + 1, STEP))
-    per_cube = (
-        sites.select(
-            F.explode(
-                F.array(*[F.struct(F.lit(k).alias("level"), _cube(k).alias("cube")) for k in levels])
-            ).alias("c")
-        )
-        .groupBy("c.level", "c.cube")
-        .agg(F.count(F.lit(1)).alias("n"))
+    cubes = F.array(*[F.struct(F.lit(k).alias("level"), _cube(k).alias("cube")) for k in levels])
+    occupied = (
+        sites.select(F.explode(cubes).alias("c")).groupBy("c.level", "c.cube").agg(F.count(F.lit(1)).alias("n"))
+    )
+    per_level = occupied.groupBy("level").agg(
+        F.count(F.lit(1)).alias("cubes"), F.max("n").alias("fullest")
     )
-    # one row per level, whatever the number of stations
-    rows = {
-        r.level: (r.cubes, r.fullest)
-        for r in per_cube.groupBy("level")
-        .agg(F.count(F.lit(1)).alias("cubes"), F.max("n").alias("fullest"))
-        .collect()
-    }
+    rows = {row.level: row for row in per_level.collect()}
     if not rows:
         return [0]
-    start = max(k for k in levels if rows[k][0] == 1)
-    sparse = [k for k in levels if k >= start and rows[k][1] <= STATIONS_PER_CUBE]
+    start = max(k for k in levels if rows[k].cubes == 1)
+    sparse = [k for k in levels if k >= start and rows[k].fullest <= STATIONS_PER_CUBE]
     return [k for k in levels if start <= k <= (sparse[0] if sparse else FINEST)]
 
 
@@ -127,25 +131,21 @@ def nearest_station(
         ).agg(
             F.min_by(F.struct(*[F.col(c) for c in stations.columns]), F.col(station_id)).alias("site")
         )
-    )
+    ).withColumn("finest", _finest_cube())
     levels = _levels(sites)
-    start = levels[0]
-    if len(levels) > 1:
-        # children of one cube: 64 at most
-        start = levels[1]
-        cubes = [r.cube for r in sites.select(_cube(start).alias("cube")).distinct().collect()]
-    else:
-        cubes = [r.cube for r in sites.select(_cube(start).alias("cube")).distinct().limit(1).collect()]
-    first = F.array(*[F.lit(c) for c in cubes]) if cubes else F.array().cast("array<long>")
-    frontier = _prune(spots.withColumn("cube", F.explode(first)), start)
-    for level in levels[2:]:
-        children = sites.select(_cube(level - STEP).alias("cube"), _cube(level).alias("child")).distinct()
-        opened = frontier.join(children, "cube").drop("cube").withColumnRenamed("child", "cube")
-        frontier = _prune(opened, level)
-    leaf = max(start, levels[-1])
+    # all stations lie in one cube of the first level
+    whole = sites.select(_cube(levels[0]).alias("cube")).distinct()
+    frontier = spots.withColumn("cube", whole.scalar())
+    for coarse, fine in zip(levels, levels[1:]):
+        parts = sites.select(_cube(coarse).alias("cube"), _cube(fine).alias("part")).distinct()
+        opened = frontier.join(parts, "cube").drop("cube").withColumnRenamed("part", "cube")
+        frontier = _prune(opened, fine)
     measured = frontier.select("lat", "lon", "cube").join(
         sites.select(
-            _cube(leaf).alias("cube"), F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"), "site"
+            _cube(levels[-1]).alias("cube"),
+            F.col("lat").alias("s_lat"),
+            F.col("lon").alias("s_lon"),
+            "site",
         ),
         "cube",
     )

@@ -25,16 +25,30 @@ def stepped_mean(
     return df
 
 
-def demand_statistics(df: DataFrame, grain: list[str], value: str, prefix: str = "") -> DataFrame:
-    """A4: total, mean, peak and number of known hours."""
-    return df.groupBy(*grain).agg(
-        F.sum(value).alias(f"{prefix}total_demand_mwh"),
-        F.avg(value).alias(f"{prefix}avg_hourly_demand_mwh"),
-        F.max(value).alias(f"{prefix}peak_hourly_demand_mwh"),
-        F.count(value).alias(f"{prefix}demand_hours"),
+def hourly_demand(fact: DataFrame, hour: list[str], value: str = "value_mwh") -> DataFrame:
+    """One row per hour of what daily figures need, combined ahead of the shuffle.
+
+    Sums, peak and counts over any set of hours follow from these columns, so
+    calendar conversion and joins run per hour and not per record.
+    """
+    return fact.groupBy(*hour).agg(
+        F.sum(value).alias("mwh"),
+        F.max(value).alias("peak"),
+        F.count(value).alias("known"),
+        F.count(F.lit(1)).alias("records"),
     )
 
 
+def demand_measures() -> list[Column]:
+    """A4 over rows of ``hourly_demand``: total, mean, peak, number of known values."""
+    return [
+        F.sum("mwh").alias("total_demand_mwh"),
+        F.try_divide(F.sum("mwh"), F.sum("known")).alias("avg_hourly_demand_mwh"),
+        F.max("peak").alias("peak_hourly_demand_mwh"),
+        F.sum("known").alias("demand_hours"),
+    ]
+
+
 def weather_statistics(df: DataFrame, grain: list[str]) -> DataFrame:
     """A5: mean, extremes and number of known hours."""
     return df.groupBy(*grain).agg(
