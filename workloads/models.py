@@ -461,19 +461,20 @@ def a5_weather_daily(spark, sf):
     return rounded(daily, "avg_temperature_f", "min_temperature_f", "max_temperature_f", "avg_wind_speed_mph")
 
 
+def _order_hours(spark, sf):
+    return table(spark, sf, "orders").select(
+        "o_orderkey", hour_key(F.col("o_orderdate") + F.expr("INTERVAL 12 HOURS")).alias("hour_key")
+    )
+
+
 def a7_window_bounds(spark, sf):
-    daily = table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("day"))
-    return TrailingWindow(daily, "day", 365).bounds()
+    return TrailingWindow(_order_hours(spark, sf), "hour_key", 365).bounds()
 
 
 def f4_within_window(spark, sf):
-    """Orders per day of the last 365 days with orders."""
-    daily = (
-        table(spark, sf, "orders")
-        .groupBy(F.col("o_orderdate").cast("date").alias("day"))
-        .agg(F.count(F.lit(1)).alias("orders"))
-    )
-    return TrailingWindow(daily, "day", 365).only(daily, "day")
+    """Orders of the last 365 days with orders."""
+    hours = _order_hours(spark, sf)
+    return TrailingWindow(hours, "hour_key", 365).only(hours, "hour_key")
 
 
 def f1_zone_filter(spark, sf):
@@ -559,8 +560,9 @@ select md5(concat_ws('-', {HOUR}, 'ZONJ', user_id)) as srd_id, {HOUR} as period_
        cast(user_id as varchar) as ba_code, 'J' as sub_ba_code, value as value_mwh
 from events where event_type = 'purchase' and value is not null""",
     "f4_within_window": """
-with n as (select cast(o_orderdate as date) as day, count(*) as orders from orders group by 1)
-select day, orders from n where day between (select max(day) - 364 from n) and (select max(day) from n)""",
+select o_orderkey, strftime(o_orderdate + interval 12 hour, '%Y-%m-%dT%H') as hour_key from orders
+where o_orderdate between (select max(o_orderdate) - interval 364 day from orders)
+  and (select max(o_orderdate) from orders)""",
     "a4_demand_daily": f"""
 select {local_day(HOUR)} as local_day, {letter(_DEMAND_CODE)} as sub_ba_code,
   {rnd('sum(value)', 'total_demand_mwh')}, {rnd('avg(value)', 'avg_hourly_demand_mwh')},

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zephyrload.functions.timekeys import LOCAL_ZONE, first_key_of_local_day
+from zephyrload.functions.timekeys import LOCAL_ZONE, first_key_of_local_day, local_date
 
 
 def stepped_mean(
@@ -61,41 +61,36 @@ def weather_statistics(df: DataFrame, grain: list[str]) -> DataFrame:
 
 
 class TrailingWindow:
-    """The last ``days`` days up to the latest day of ``daily``.
+    """The last ``days`` local days up to the latest hour of ``hours``.
 
-    The bounds are scalar subqueries: they are computed once, need no cross
-    join, and Spark hands their values to the scans they filter. Without any
-    day the bounds are NULL and every filter is empty.
+    The bounds are scalar subqueries: they need no cross join, and Spark hands
+    their values to the scan being filtered. Without any hour they are NULL
+    and every filter is empty.
     """
 
-    def __init__(self, daily: DataFrame, day: str, days: int):
-        self._daily, self._day, self._days = daily, day, days
-
-    def _start(self) -> Column:
-        return F.date_sub(F.max(self._day), self._days - 1)
+    def __init__(self, hours: DataFrame, key: str, days: int, zone: str = LOCAL_ZONE):
+        self._hours, self._zone = hours, zone
+        self._end = local_date(F.max(key), zone)
+        self._start = F.date_sub(self._end, days - 1)
 
     def bounds(self) -> DataFrame:
         """One row: start_date, end_date."""
-        return self._daily.agg(
-            self._start().alias("start_date"), F.max(self._day).alias("end_date")
-        )
-
-    def only(self, df: DataFrame, day: str) -> DataFrame:
-        """Rows of ``df`` whose day lies inside the window, both ends included."""
-        start = self._daily.agg(self._start().alias("start_date")).scalar()
-        end = self._daily.agg(F.max(self._day).alias("end_date")).scalar()
-        return df.filter(F.col(day).between(start, end))
-
-    def recent_hours(self, df: DataFrame, key: str, zone: str = LOCAL_ZONE) -> DataFrame:
-        """Coarse filter on an hour key, for the scan; may keep earlier hours."""
-        first = self._daily.agg(
-            first_key_of_local_day(self._start(), zone).alias("first_key")
-        ).scalar()
-        recent = df.filter(F.col(key) >= first)
-        if "utc_day" in df.columns:
-            day = self._daily.agg(F.date_sub(self._start(), 1).alias("first_day")).scalar()
-            recent = recent.filter(F.col("utc_day") >= day)
-        return recent
+        return self._hours.agg(self._start.alias("start_date"), self._end.alias("end_date"))
+
+    def _value(self, bound: Column, name: str) -> Column:
+        return self._hours.agg(bound.alias(name)).scalar()
+
+    def only(self, df: DataFrame, key: str) -> DataFrame:
+        """Rows whose hour lies on a day of the window, both ends included."""
+        first = self._value(first_key_of_local_day(self._start, self._zone), "first_key")
+        after = self._value(first_key_of_local_day(F.date_add(self._end, 1), self._zone), "after_key")
+        inside = df.filter((F.col(key) >= first) & (F.col(key) < after))
+        if "utc_day" not in df.columns:
+            return inside
+        # tables stored by day: skip the days that cannot hold such an hour
+        first_day = self._value(F.date_sub(self._start, 1), "first_day")
+        last_day = self._value(F.date_add(self._end, 1), "last_day")
+        return inside.filter(F.col("utc_day").between(first_day, last_day))
 
 
 def monthly_statistics(daily: DataFrame, month: str, grain: list[str], mean: str) -> DataFrame:
