@@ -1,0 +1,86 @@
+import json
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from zephyrload.operators.lookups import add_zone, unmapped
+from zephyrload.schemas import COUNTY_ZONES, OBSERVATIONS, ZONE_NAMES
+from zephyrload.sources import readers
+
+ZONES = """NY|072|OKX|New York|NYZ072|New York|36061|E|se|40.78|-73.97
+NY|072|OKX|New York|NYZ072|New York|36061|E|se|40.79|-73.98
+NY|073|OKX|Bronx|NYZ073|Bronx|36005|E|se|bad|-73.9
+NY|001|BUF|Niagara|NYZ001|Niagara|36063|E|nw|43.2|-78.8
+NY|001|BUF|Niagara|NYZ001|Nowhere|36999|E|nw|43.1|-78.7
+NJ|002|PHI|Essex|NJZ002|Essex|34013|E|ne|40.7|-74.2
+"""
+
+
+def test_zone_counties(spark, tmp_path):
+    (tmp_path / "z.txt").write_text(ZONES)
+    counties = readers.state_zone_counties(readers.read_zone_counties(spark, str(tmp_path)))
+    assert rows(counties, "state_zone", "fips", "latitude") == [
+        ("NYZ001", "36063", 43.2), ("NYZ001", "36999", 43.1), ("NYZ072", "36061", 40.78),
+    ]
+    county_zones = spark.createDataFrame(list(COUNTY_ZONES.items()), "fips string, nyiso_zone string")
+    names = spark.createDataFrame(list(ZONE_NAMES.items()), "nyiso_zone string, nyiso_zone_name string")
+    mapped = add_zone(counties, county_zones, names)
+    assert rows(mapped, "fips", "nyiso_zone", "nyiso_zone_name") == [
+        ("36061", "J", "N.Y.C."), ("36063", "A", "WEST"), ("36999", None, None),
+    ]
+    assert rows(unmapped(mapped, "nyiso_zone", ["fips", "county"])) == [("36999", "Nowhere")]
+
+
+def test_fixed_tables():
+    assert len(COUNTY_ZONES) == 62 and set(COUNTY_ZONES.values()) == set(ZONE_NAMES) - {"H"}
+
+
+def station(sid, begin, end, lon=-73.0, lat=41.0):
+    return {"type": "Feature", "properties": {"sid": sid, "sname": f"S {sid}", "archive_begin": begin, "archive_end": end, "x": 1},
+            "geometry": {"type": "Point", "coordinates": [lon, lat]}}
+
+
+def test_stations(spark, tmp_path, session_zone):
+    features = [
+        station("OLD", "1950-01-01T00:00:00Z", None), station("EDGE", "2025-01-01", None, -78.5, 43.0),
+        station("LATE", "2025-01-01T00:00:01Z", None), station("DONE", "1950-01-01", "2020-01-01"), station("NONE", None, None),
+    ]
+    (tmp_path / "s.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": features}, indent=1))
+    stations = readers.read_stations(spark, str(tmp_path))
+    assert stations.count() == 5
+    active = readers.active_stations(stations, "2025-01-01")
+    assert rows(active, "station_id", "station_longitude", "station_latitude") == [("EDGE", -78.5, 43.0), ("OLD", -73.0, 41.0)]
+
+
+def test_observations(spark, tmp_path, session_zone):
+    (tmp_path / "JFK.csv").write_text("station,valid,tmpf,sped\nJFK,2026-03-08 02:51,40.5,M\nJFK,2026-03-08 03:51,M,M\nJFK,2026-03-08 04:51,x,7\n")
+    (tmp_path / "LGA.csv").write_text("station,valid,tmpf,sped\nLGA,2026-03-08 02:51,41,3\n")
+    typed = readers.read_observations(spark, str(tmp_path))
+    assert typed.schema.simpleString() == OBSERVATIONS.simpleString()
+    assert rows(readers.measured(typed), "station_id", "observed_at_utc", "temperature", "wind_speed", "temperature_unit", "wind_speed_unit") == [
+        ("JFK", datetime(2026, 3, 8, 2, 51), 40.5, None, "F", "mph"),
+        ("JFK", datetime(2026, 3, 8, 4, 51), None, 7.0, "F", "mph"),
+        ("LGA", datetime(2026, 3, 8, 2, 51), 41.0, 3.0, "F", "mph"),
+    ]
+
+
+def test_observation_columns_are_checked(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("station,valid,tmpf\nJFK,2026-03-08 02:51,40\n")
+    with pytest.raises(ValueError, match="sped"):
+        readers.read_observations(spark, str(tmp_path))
+
+
+def test_differing_headers_fail(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("station,valid,tmpf,sped\nJFK,2026-03-08 02:51,40,1\n")
+    (tmp_path / "b.csv").write_text("station,valid,sped,tmpf\nLGA,2026-03-08 02:51,1,40\n")
+    with pytest.raises(Exception, match="[Hh]eader"):
+        readers.read_observations(spark, str(tmp_path)).collect()
+
+
+def test_empty_response_keeps_the_schema(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("")
+    empty = readers.read_observations(spark, str(tmp_path))
+    assert empty.count() == 0 and empty.columns == OBSERVATIONS.fieldNames()
+    assert readers.empty_frame(spark, OBSERVATIONS).dtypes == empty.dtypes
