@@ -25,7 +25,12 @@ def session_zone(spark, request):
     spark.conf.set("spark.sql.session.timeZone", before)
 
 
+def ordered(tuples):
+    """Sorted by value, None last."""
+    return sorted(tuples, key=lambda t: [(v is None, "" if v is None else v) for v in t])
+
+
 def rows(df, *columns):
     """Sorted plain tuples."""
     df = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in df.collect()), key=repr)
+    return ordered(tuple(r) for r in df.collect())

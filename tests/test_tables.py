@@ -1,0 +1,79 @@
+import json
+
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from tests.test_records import envelope, response, responses
+from zephyrload import schemas
+from zephyrload.operators.dedupe import sorted_by_key
+from zephyrload.plans import refresh
+from zephyrload.session import fresh_path, shared_folder
+from zephyrload.sources import tables
+from zephyrload.sources.landing import landing_rows
+
+
+def test_shared_folder_follows_the_session(spark):
+    assert fresh_path(spark, "x").startswith(shared_folder(spark)) and fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
+def test_publish_keeps_the_previous_content_until_the_next(spark):
+    tables.create_layers(spark)
+    for n in range(4):
+        shown = tables.publish(spark.range(n).withColumn("d", F.lit("x")), "gold.numbers", "it's counted", ("d",))
+        assert shown.count() == n
+    assert spark.sql("show tables in gold like 'numbers__*'").count() == 2
+    before = spark.table("gold.numbers")
+    tables.publish(spark.range(9).withColumn("d", F.lit("y")), "gold.numbers", "", ("d",))
+    assert before.count() == 3 and spark.table("gold.numbers").count() == 9
+
+
+def test_comments_reach_the_catalog(spark):
+    tables.create_layers(spark)
+    schema = schemas.DIM_METRIC_TYPE.schema
+    df = schemas.conform(spark.createDataFrame([("D", "Demand")], "type_code string, type_name string"), schema)
+    tables.publish(df, "silver.commented", "Operating metrics")
+    described = {r.col_name: r.comment for r in spark.sql("describe silver.commented").collect()}
+    assert described == {"type_code": "metric code", "type_name": "metric name"}
+
+
+def test_a_day_is_written_to_its_partition(spark, tmp_path):
+    df = spark.createDataFrame([("2026-07-01T23", 1), ("2026-07-02T00", 2)], "k string, v int")
+    tables.by_utc_day(df, "k").write.partitionBy("utc_day").parquet(str(tmp_path / "t"))
+    assert sorted(p.name for p in (tmp_path / "t").glob("utc_day=*")) == ["utc_day=2026-07-01", "utc_day=2026-07-02"]
+
+
+def test_sorted_by_key(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
+    parts = sorted_by_key(df, ["k"]).withColumn("p", F.spark_partition_id()).collect()
+    assert [r.k for r in parts] == list(range(1000))
+
+
+def test_refresh_from_landing_to_gold(spark):
+    tables.create_layers(spark)
+    hours = [f"2026-07-01T{h:02d}" for h in range(4, 24)] + [f"2026-07-02T{h:02d}" for h in range(4)]
+
+    def page(fields):
+        return responses(spark, *[response(0, 200, envelope(*[{**f, "period": h, "value": "10", "value-units": "MWh"} for f in fields]), h) for h in hours])
+
+    operator = {"respondent": "NY", "respondent-name": "New York"}
+    tables.publish(landing_rows(page([{**operator, "type": "D", "type-name": "Demand"}])), refresh.LANDING_OPERATIONS)
+    tables.publish(landing_rows(page([{**operator, "fueltype": "WND", "type-name": "Wind"}])), refresh.LANDING_GENERATION)
+    areas = [{"subba": "ZONJ", "subba-name": "zone j", "parent": "NY", "parent-name": "New York"}, {"subba": "ZONH", "subba-name": "zone h", "parent": "NY", "parent-name": "New York"}]
+    tables.publish(landing_rows(page(areas)), refresh.LANDING_DEMAND)
+    weather = spark.createDataFrame([(h,) for h in hours], "h string").select(
+        F.lit("NYZ072").alias("state_zone"), F.lit("New York").alias("zone_name"), F.lit("New York").alias("county"), F.lit("36061").alias("fips"),
+        F.lit("J").alias("nyiso_zone"), F.lit("N.Y.C.").alias("nyiso_zone_name"), F.lit("NYC").alias("station_id"), F.lit("Park").alias("station_name"),
+        F.lit(1.0).alias("distance_km"), F.concat("h", F.lit(":05")).cast("timestamp_ntz").alias("observed_at_utc"), F.lit(80.0).alias("temperature"),
+        F.lit("F").alias("temperature_unit"), F.lit(4.0).alias("wind_speed"), F.lit("mph").alias("wind_speed_unit"), F.current_timestamp().alias("ingested_at_utc"),
+    )
+    tables.publish(schemas.conform(weather, schemas.WEATHER_BRONZE.schema), schemas.WEATHER_BRONZE.name)
+    for _ in range(2):
+        refresh.refresh_all(spark)
+    daily = spark.table(schemas.GOLD_DAILY_BY_ZONE.name)
+    assert rows(daily, "nyiso_zone", "nyiso_zone_name", "total_demand_mwh", "demand_hours", "avg_temperature_f", "weather_hours", "cooling_degree_days", "is_complete_day") == [
+        ("H", "zone h", 240.0, 24, None, 0, None, True), ("J", "zone j", 240.0, 24, 80.0, 24, 15.0, True),
+    ]
+    assert rows(spark.table(schemas.GOLD_NYC_BANDS.name), "temperature_band", "day_count") == [("80-85F", 1)]
+    assert spark.table(schemas.GOLD_NYC_DAILY.name).count() == 1 == spark.table(schemas.GOLD_MONTHLY_TEMPERATURE.name).count()
+    assert rows(spark.table(schemas.DIM_ENERGY_SOURCE.name)) == [("WND", "Wind")] and spark.table(schemas.FACT_GENERATION.name).count() == 24
+    assert spark.table(refresh.HOURLY_VIEW).count() == 24
