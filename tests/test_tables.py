@@ -77,3 +77,50 @@ def test_refresh_from_landing_to_gold(spark):
     assert spark.table(schemas.GOLD_NYC_DAILY.name).count() == 1 == spark.table(schemas.GOLD_MONTHLY_TEMPERATURE.name).count()
     assert rows(spark.table(schemas.DIM_ENERGY_SOURCE.name)) == [("WND", "Wind")] and spark.table(schemas.FACT_GENERATION.name).count() == 24
     assert spark.table(refresh.HOURLY_VIEW).count() == 24
+
+
+def test_refreshing_days_equals_refreshing_all(spark):
+    """New hours, a changed value and a new zone reach all tables by their days alone."""
+    from datetime import date
+
+    from zephyrload.functions.timekeys import hour_spine
+
+    gold = [schemas.GOLD_DAILY_BY_ZONE, schemas.GOLD_DAILY_WEATHER, schemas.GOLD_MONTHLY_TEMPERATURE, schemas.GOLD_NYC_DAILY, schemas.GOLD_NYC_BANDS]
+    silver = [schemas.FACT_DEMAND, schemas.FACT_WEATHER, schemas.FACT_GENERATION, schemas.DIM_COMBINED_ZONE, schemas.DIM_ENERGY_SOURCE]
+    stamps = [f"{layer}_processed_timestamp" for layer in ("bronze", "silver", "gold")]
+
+    def bronze(end, late):
+        keys = hour_spine(spark, "2026-06-29T00", end, "period")
+        value = F.when((F.col("period") == "2026-07-02T03") & F.lit(late), F.lit(99.0)).otherwise(F.hash("period") % 50 + 50.0)
+        base = keys.select("period", F.lit("NY").alias("ba_code"), F.lit("New York").alias("ba_name"), value.alias("value_mwh"), F.lit("MWh").alias("value_units"), F.current_timestamp().alias("processed_timestamp"))
+        areas = ["ZONJ", "ZONK"] if late else ["ZONJ"]
+        demand = base.withColumn("sub_ba_code", F.explode(F.array(*map(F.lit, areas)))).withColumn("sub_ba_name", F.lower("sub_ba_code"))
+        demand = demand.filter("sub_ba_code = 'ZONJ' or period >= '2026-07-02T03'")
+        tables.publish(demand.withColumn("srd_id", F.concat("period", "sub_ba_code")), refresh.BRONZE_DEMAND)
+        tables.publish(base.select("*", F.col("period").alias("rom_id"), F.lit("D").alias("type_code"), F.lit("Demand").alias("type_name")), refresh.BRONZE_OPERATIONS)
+        tables.publish(base.select("*", F.col("period").alias("ges_id"), F.lit("SUN" if late else "WND").alias("fuel_code"), F.lit("fuel").alias("fuel_name")).filter(F.lit(not late) | (F.col("period") >= "2026-07-02T00")), refresh.BRONZE_GENERATION)
+        readings = keys.select(
+            F.lit("Z").alias("state_zone"), F.lit("z").alias("zone_name"), F.lit("c").alias("county"), F.lit("1").alias("fips"), F.lit("J").alias("nyiso_zone"),
+            F.lit("N.Y.C.").alias("nyiso_zone_name"), F.lit("S").alias("station_id"), F.lit("s").alias("station_name"), F.lit(1.0).alias("distance_km"),
+            F.concat("period", F.lit(":51")).cast("timestamp_ntz").alias("observed_at_utc"), (F.hash("period") % 30 + 60.0).alias("temperature"),
+            F.lit("F").alias("temperature_unit"), F.lit(1.0).alias("wind_speed"), F.lit("mph").alias("wind_speed_unit"), F.current_timestamp().alias("ingested_at_utc"),
+        )
+        tables.publish(schemas.conform(readings, schemas.WEATHER_BRONZE.schema), schemas.WEATHER_BRONZE.name)
+
+    def content(contracts):
+        return {c.name: rows(spark.table(c.name).drop(*stamps)) for c in contracts}
+
+    tables.create_layers(spark)
+    bronze("2026-07-02T10", late=False)
+    refresh.refresh_silver(spark)
+    refresh.refresh_gold(spark)
+    before = content(gold)
+    bronze("2026-07-04T20", late=True)
+    refresh.refresh_days(spark, date(2026, 7, 2), date(2026, 7, 4))
+    by_days, facts = content(gold), content(silver[:2])
+    assert by_days != before
+    codes = {r.fuel_code for r in spark.table(schemas.DIM_ENERGY_SOURCE.name).collect()}
+    assert {"SUN", "WND"} <= codes
+    refresh.refresh_silver(spark)
+    refresh.refresh_gold(spark)
+    assert content(gold) == by_days and content(silver[:2]) == facts

@@ -47,11 +47,10 @@ def publish(
     earlier = _generations(spark, layer, short)
     number = int(earlier[-1].rsplit("__", 1)[1].split("_")[0]) + 1 if earlier else 0
     generation = f"{short}__{number:06d}_{uuid.uuid4().hex[:8]}"
-    # rebalancing evens out file sizes and splits a day that holds far more rows
-    balanced = df.hint("rebalance", *partition_by)
-    writer = balanced.write.format("parquet")
+    writer = df.write.format("parquet")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        # rebalancing keeps files few and splits a day that holds far more rows
+        writer = df.hint("rebalance", *partition_by).write.format("parquet").partitionBy(*partition_by)
     writer.saveAsTable(f"{layer}.{generation}")
     text = comment.replace("'", "''")
     spark.sql(
@@ -62,6 +61,20 @@ def publish(
     return spark.table(name)
 
 
+def publish_days(df: DataFrame, name: str, day: str = "utc_day") -> DataFrame:
+    """Replace only the days that ``df`` holds, in a table stored by day.
+
+    Repeating the call leaves the same content, so a lost job is simply rerun.
+    """
+    spark = df.sparkSession
+    layer, short = name.split(".")
+    current = f"{layer}.{_generations(spark, layer, short)[-1]}"
+    rows = df.select(*spark.table(current).columns).hint("rebalance", day)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(current)
+    spark.catalog.refreshTable(current)
+    return spark.table(name)
+
+
 def _generations(spark: SparkSession, layer: str, short: str) -> list[str]:
     found = spark.sql(f"SHOW TABLES IN {layer} LIKE '{short.lower()}__*'")
     return sorted(row.tableName for row in found.collect())
