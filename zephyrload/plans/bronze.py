@@ -67,19 +67,22 @@ def bronze_feed(
 ) -> DataFrame:
     """Typed records of one feed.
 
-    A value that is no number fails the load, or becomes NULL when not strict.
+    All fields are read in one pass over the payload. A value that is no number
+    fails the load, or becomes NULL when not strict.
     """
     read = F.variant_get if strict else F.try_variant_get
+    fields = ", ".join(
+        f"`{name}`: {'double' if column in feed.value_columns else 'string'}"
+        for column, name in feed.columns.items()
+    )
+    records = read(F.col("raw_response"), RECORDS_PATH, f"array<struct<{fields}>>")
 
-    def field(name: str, kind: str = "string") -> Column:
-        return read(F.col("record"), f"$['{name}']", kind)
+    def field(name: str) -> Column:
+        return F.col("record").getField(name)
 
-    return payload_records(landing).select(
+    return landing.select(F.explode(records).alias("record")).select(
         row_key(*[field(name) for name in feed.key_fields]).alias(feed.id_column),
-        *[
-            field(name, "double" if column in feed.value_columns else "string").alias(column)
-            for column, name in feed.columns.items()
-        ],
+        *[field(name).alias(column) for column, name in feed.columns.items()],
         stamp(processed_at).alias("processed_timestamp"),
     )
 
