@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from workloads import feeds
@@ -12,7 +14,7 @@ from zephyrload.functions.records import row_key, zone_letter
 from zephyrload.functions.timekeys import hour_key, local_date, nearest_hour_key
 from zephyrload.operators import lookups
 from zephyrload.operators.steps import TrailingWindow, demand_measures, hourly_demand
-from zephyrload.plans import bronze, gold, refresh, silver
+from zephyrload.plans import bronze, gold, loads, refresh, silver
 from zephyrload.plans.bronze import bronze_feed
 from zephyrload.session import fresh_path
 from zephyrload.sources.tables import create_layers
@@ -107,7 +109,22 @@ def p1_explode_payload(spark, sf):
 
 def b4_weather(spark, sf):
     """Readings fanned out to the zone-counties of their station."""
-    readings = table(spark, sf, "events").select(
+    return unstamped(bronze.bronze_weather(_station_readings(spark, sf), zone_stations(spark, sf), feeds.load_time()))
+
+
+def b4_load_readings(spark, sf):
+    """The same through two incremental loads, the second overlapping the first."""
+    create_layers(spark, fresh_path(spark, "layers"))
+    name = f"bronze.weather_{uuid.uuid4().hex[:8]}"
+    readings, served = _station_readings(spark, sf), zone_stations(spark, sf)
+    early = readings.filter(F.col("observed_at_utc") < F.lit("2024-01-16").cast("timestamp_ntz"))
+    for batch in (early, readings):
+        loads.load_readings(spark, batch, served, "2024-01-01", name, feeds.load_time())
+    return unstamped(spark.table(name).drop("utc_day"))
+
+
+def _station_readings(spark, sf):
+    return table(spark, sf, "events").select(
         F.concat(F.lit("S"), F.col("user_id").cast("string")).alias("station_id"),
         F.col("ts").alias("observed_at_utc"),
         F.col("value").alias("temperature"),
@@ -115,7 +132,6 @@ def b4_weather(spark, sf):
         feeds.wind().alias("wind_speed"),
         F.lit("mph").alias("wind_speed_unit"),
     )
-    return unstamped(bronze.bronze_weather(readings, zone_stations(spark, sf), feeds.load_time()))
 
 
 def zone_stations(spark, sf):
@@ -490,6 +506,7 @@ QUERIES = {
     "b2_generation": b2_generation,
     "b3_subregion_demand": b3_subregion_demand,
     "b4_weather": b4_weather,
+    "b4_load_readings": b4_load_readings,
     "p1_explode_payload": p1_explode_payload,
     "p5_row_key": p5_row_key,
     "p7_code_split": p7_code_split,
@@ -536,6 +553,7 @@ select md5(concat_ws('-', {HOUR}, {_DEMAND_CODE}, user_id)) as srd_id, {HOUR} as
        value as value_mwh, 'megawatthours' as value_units
 from events""",
     "b4_weather": WEATHER_BRONZE_SQL,
+    "b4_load_readings": WEATHER_BRONZE_SQL,
     "p1_explode_payload": f"select {HOUR} as period, count(*) as records from events where hour(ts) <> 10 group by 1",
     "p5_row_key": f"""
 select event_id, md5({HOUR} || '-' || user_id || '-' || case when event_type <> 'error' then event_type else '' end)
