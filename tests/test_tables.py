@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tests.test_records import envelope, response, responses
 from zephyrload import schemas
-from zephyrload.operators.dedupe import sorted_by_key
+from zephyrload.operators.dedupe import export_order, sorted_by_key
 from zephyrload.plans import refresh
 from zephyrload.session import fresh_path, shared_folder
 from zephyrload.sources import tables
@@ -46,6 +46,12 @@ def test_sorted_by_key(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
     parts = sorted_by_key(df, ["k"]).withColumn("p", F.spark_partition_id()).collect()
     assert [r.k for r in parts] == list(range(1000))
+    hot = spark.range(4000).select(F.lit(1).alias("k"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the test data is tiny
+    spread = sorted_by_key(hot, ["k"]).withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(spread) > 1 and max(r["count"] for r in spread) < 2000
+    assert [r.id for r in export_order(hot, ["k"]).collect()] == list(range(4000))
 
 
 def test_refresh_from_landing_to_gold(spark):

@@ -361,7 +361,7 @@ def o3_station_list(spark, sf):
 def o4_export_order(spark, sf):
     """Operating metrics in the order pages are asked for."""
     metrics = feeds.operations_bronze(spark, sf).select("period", "ba_code", "type_code", "value_mwh")
-    return metrics.orderBy("period", "ba_code", "type_code")
+    return dedupe.export_order(metrics, ["period", "ba_code", "type_code"])
 
 
 def a11_distinct_counts(spark, sf):

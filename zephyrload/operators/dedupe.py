@@ -1,9 +1,10 @@
-"""Keep-first deduplication (W2) and key ordering (O2, O3)."""
+"""Keep-first deduplication (W2) and key ordering."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
@@ -17,9 +18,26 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str] | None = None) -
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
+def _total_order(df: DataFrame, keys: list[str]) -> list[str]:
+    """The keys, then all other sortable columns.
+
+    Ties are settled the same way on every run, and a key borne by most rows
+    still spreads over many ranges.
+    """
+    unsortable = (T.VariantType, T.MapType)
+    rest = [f.name for f in df.schema.fields if not isinstance(f.dataType, unsortable)]
+    return [*keys, *[c for c in rest if c not in keys]]
+
+
 def sorted_by_key(df: DataFrame, keys: list[str]) -> DataFrame:
     """O2: range-partitioned and sorted by key, ready to be written."""
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    order = _total_order(df, keys)
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def export_order(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows in the one order that pages of an export are cut from."""
+    return df.orderBy(*_total_order(df, keys))
 
 
 def distinct_sorted(df: DataFrame, column: str) -> DataFrame:

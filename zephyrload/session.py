@@ -15,8 +15,6 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 
