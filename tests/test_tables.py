@@ -27,6 +27,15 @@ def test_publish_keeps_the_previous_content_until_the_next(spark):
     assert before.count() == 3 and spark.table("gold.numbers").count() == 9
 
 
+def test_publishing_days_keeps_the_other_days(spark):
+    tables.create_layers(spark)
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "v int, utc_day string")
+    tables.publish(df, "silver.by_day", "", ("utc_day",))
+    tables.publish_days(df.filter("v = 2").withColumn("v", F.lit(3)), "silver.by_day")
+    assert rows(spark.table("silver.by_day")) == [(1, "a"), (3, "b")]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
 def test_comments_reach_the_catalog(spark):
     tables.create_layers(spark)
     schema = schemas.DIM_METRIC_TYPE.schema

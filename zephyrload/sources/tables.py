@@ -70,7 +70,14 @@ def publish_days(df: DataFrame, name: str, day: str = "utc_day") -> DataFrame:
     layer, short = name.split(".")
     current = f"{layer}.{_generations(spark, layer, short)[-1]}"
     rows = df.select(*spark.table(current).columns).hint("rebalance", day)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(current)
+    # inserting into a table takes the mode from the session, not from the writer
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        rows.write.mode("overwrite").insertInto(current)
+    finally:
+        spark.conf.set(mode, before)
     spark.catalog.refreshTable(current)
     return spark.table(name)
 
