@@ -10,9 +10,11 @@ Links are confirmed on full sets:
 
 1. Documents with equal sets form a class; only its smallest id goes on.
 2. In every bucket all members are compared with the bucket's smallest id.
-3. Components are formed; where a bucket still holds several, every member outside its
-   largest component is compared with the members of the other components. Pairs
-   within a component need no test, so no group is compared pair by pair.
+3. Components are formed; where a bucket still holds several, members of different
+   components are compared. Large buckets are split into blocks and each two blocks
+   meet in a cell, where intersections are counted by matrix products over 32-bit
+   shingle hashes; no pairs are joined, and only pairs that may be links come out, to be
+   confirmed like the others. Pairs within a component need no test.
 
 Components are found by passing the smallest id along links until nothing changes, all
 by joins and grouped minima, with each round written to the shared folder.
@@ -36,6 +38,8 @@ from zephyrload.llm.common import WordHashes, as_bytes, bound_batches, free_name
 ROWS = 6
 BANDS = 40
 PERCENT = 80
+#: Members of a block of a bucket.
+BLOCK = 512
 
 _SEED = 20240229
 
@@ -151,6 +155,72 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return stage(both.mapInArrow(check, "a long, b long"), "near-links")
 
 
+def _similar_across(inside: DataFrame, texts: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """Pairs (a, b) of different components that meet in a bucket and may be links.
+
+    ``inside`` has key, id, n, component and the size of the bucket. Short hashes can
+    only merge shingles, and as many as a set loses by that are granted to each pair,
+    so no link is lost here.
+    """
+
+    def factory():
+        hashes = WordHashes()
+        return lambda found: [[np.unique(shingles(t, hashes).astype(np.uint32)).tobytes() for t in found]]
+
+    sets = map_texts(texts, "text", ["id"], [T.StructField("short", T.BinaryType())], factory)
+    blocks = F.ceil(F.col("size") / block).cast("int")
+    dealt = inside.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1))
+    )
+    cell = ["key", "low", "high"]
+    dealt = dealt.select(
+        "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        "block", "id", "n", "component",
+    ).join(sets, "id")
+    order = [*cell, "block", "id", "n", "component", "short"]
+    dealt = dealt.select(*order).repartition(*cell).sortWithinPartitions(*cell)
+
+    def run(batches):
+        key, rows = None, []
+        for batch in batches:
+            for row in zip(*(batch.column(k).to_pylist() for k in range(len(order))), strict=True):
+                if row[:3] != key:
+                    if len(rows) > 1:
+                        yield _cell_links(rows, percent)
+                    key, rows = row[:3], []
+                rows.append(row)
+        if len(rows) > 1:
+            yield _cell_links(rows, percent)
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _cell_links(rows: list[tuple], percent: int, width: int = 4096) -> pa.RecordBatch:
+    """Possible links between the two blocks of a cell, or within its only one."""
+    low, high = rows[0][1], rows[0][2]
+    left = [k for k, r in enumerate(rows) if r[3] == low]
+    right = left if low == high else [k for k, r in enumerate(rows) if r[3] == high]
+    sets = [np.frombuffer(r[7], np.uint32) for r in rows]
+    used, counts = np.unique(np.concatenate(sets), return_counts=True)
+    used = used[counts > 1]
+    spots = [np.searchsorted(used, x[np.isin(x, used, assume_unique=True)]) for x in sets]
+    common = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, len(used), width):
+        grid = np.zeros((len(rows), min(width, len(used) - at)), np.float32)
+        for k, x in enumerate(spots):
+            grid[k, x[np.searchsorted(x, at) : np.searchsorted(x, at + width)] - at] = 1
+        common += grid[left] @ grid[right].T
+    ids, n, component = (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 6))
+    lost = n - np.array([len(x) for x in sets])
+    i, j = (np.array(x, np.int64) for x in (left, right))
+    most = common.astype(np.int64) + np.minimum.outer(lost[i], lost[j])
+    linked = (100 + percent) * most >= percent * np.add.outer(n[i], n[j])
+    linked &= np.not_equal.outer(component[i], component[j])
+    x, y = np.nonzero(linked)
+    a, b = ids[i[x]], ids[j[y]]
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every id in the links (a, b): the smallest id it reaches.
 
@@ -217,23 +287,12 @@ def near_duplicates(
     labelled = members.join(found, "id", "left").select(
         "key", "id", "n", F.coalesce("component", "id").alias("component")
     )
-    parts = labelled.groupBy("key", "component").agg(F.count("*").alias("c"))
-    several = parts.groupBy("key").agg(
-        F.count("*").alias("parts"), F.max_by("component", F.struct("c", "component")).alias("largest")
+    several = labelled.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")
     )
-    open_buckets = several.where("parts > 1").select("key", "largest")
+    open_buckets = several.where("low <> high").select("key", "size")
     inside = stage(labelled.join(open_buckets, "key"), "near-open")
-    apart = inside.where("component <> largest").select(
-        "key", F.col("id").alias("x"), F.col("n").alias("n_x"), F.col("component").alias("c_x")
-    )
-    more = (
-        inside.select("key", F.col("id").alias("y"), F.col("n").alias("n_y"), F.col("component").alias("c_y"))
-        .join(apart, "key")
-        .where((F.col("c_x") != F.col("c_y")) & fits("n_x", "n_y"))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
-    )
+    more = _similar_across(inside, texts, percent).join(tried, ["a", "b"], "left_anti")
     stars = found.select(F.col("id").alias("a"), F.col("component").alias("b"))
     found = components(stars.union(_confirmed(stage(more, "near-more"), texts, percent)))
 
