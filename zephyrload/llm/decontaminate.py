@@ -103,7 +103,7 @@ def _characters(data: bytes | None, spans: list[tuple[int, int]]) -> list[dict]:
     """Word spans as character offsets of the original text."""
     if not spans:
         return []
-    words = [m.span() for m in _WORD.finditer(data.decode())]
+    words = [m.span() for m in _WORD.finditer(data.lower().decode())]
     return [{"start": words[a][0], "end": words[b - 1][1]} for a, b in spans]
 
 
