@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -108,7 +109,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 class WordHashes(dict):
     """64-bit hash of a word, remembered for up to ``most`` words."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 600_000):
         super().__init__()
         import xxhash
 
@@ -124,6 +125,12 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+@lru_cache(maxsize=8)
+def per_process(kind: Callable, *arguments):
+    """One object of a kind for all tasks of a worker process, so that what it remembers lasts."""
+    return kind(*arguments)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread all bits of 64-bit values over all bits (a fixed bijection)."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

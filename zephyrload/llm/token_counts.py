@@ -26,11 +26,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from zephyrload.llm.common import map_texts
+from zephyrload.llm.common import map_texts, per_process
 
 LIMIT = 4096
-#: Words remembered by one task at a time.
-MOST_WORDS = 600_000
+#: Words remembered by one worker process at a time.
+MOST_WORDS = 1_000_000
 SPACE = "▁"
 
 FIELDS = [
@@ -161,7 +161,7 @@ def token_counts(
     keep = [c for c in docs.columns if c not in {f.name for f in FIELDS}] if keep is None else keep
 
     def factory() -> Callable[[list[bytes | None]], list]:
-        counter = PrefixCounter(model_path)
+        counter = per_process(PrefixCounter, model_path)
 
         def compute(texts: list[bytes | None]) -> list:
             found = [counter.prefixes(data.decode() if data else "") for data in texts]
