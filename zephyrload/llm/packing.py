@@ -29,13 +29,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zephyrload.llm.common import map_texts, stage
+from zephyrload.llm.common import map_texts, per_process, stage
 
 CAPACITY = 1024
 END_TOKEN = 2
 PLAN_PIECES = 1 << 16
-#: Distinct words whose ids one task remembers at a time.
-MOST_WORDS = 500_000
+#: Distinct words whose ids one worker process remembers at a time.
+MOST_WORDS = 1_000_000
 #: Pieces a bucket holds on average.
 BUCKET_PIECES = 20_000
 
@@ -114,7 +114,7 @@ def token_pieces(
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        encoder = WordEncoder(tokenizer_path)
+        encoder = per_process(WordEncoder, tokenizer_path)
 
         def compute(texts: list[bytes | None]) -> list:
             out = []
