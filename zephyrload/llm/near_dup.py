@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zephyrload.llm.common import WordHashes, as_bytes, bound_batches, free_name, map_texts, mix, stage
+from zephyrload.llm.common import WordHashes, as_bytes, bound_batches, free_name, map_texts, mix, per_process, stage
 
 ROWS = 6
 BANDS = 40
@@ -101,7 +101,7 @@ def sketches(docs: DataFrame, text: str, keep: list[str], rows: int = ROWS, band
     """Columns ``keep``, n_shingles, a 128-bit digest of the set and its bucket keys."""
 
     def factory():
-        hashes, minmax = WordHashes(), MinMax(rows, bands)
+        hashes, minmax = per_process(WordHashes), per_process(MinMax, rows, bands)
 
         def compute(texts):
             sets = [shingles(t, hashes) for t in texts]
@@ -142,7 +142,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
 
     def check(batches):
-        hashes, recent = WordHashes(), _Recent()
+        hashes, recent = per_process(WordHashes), _Recent()
         for batch in batches:
             linked = []
             for a, x, y in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3)), strict=True):
@@ -164,7 +164,7 @@ def _similar_across(inside: DataFrame, texts: DataFrame, percent: int, block: in
     """
 
     def factory():
-        hashes = WordHashes()
+        hashes = per_process(WordHashes)
         return lambda found: [[np.unique(shingles(t, hashes).astype(np.uint32)).tobytes() for t in found]]
 
     sets = map_texts(texts, "text", ["id"], [T.StructField("short", T.BinaryType())], factory)

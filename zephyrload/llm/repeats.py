@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zephyrload.llm.common import WordHashes, as_bytes, bound_batches, flatten, free_name, mix
+from zephyrload.llm.common import WordHashes, as_bytes, bound_batches, flatten, free_name, mix, per_process
 
 WINDOW = 20
 MINIMIZER = 6
@@ -114,7 +114,7 @@ def chunk_paths(ids: list[int | None], words: list[list[bytes]], hashes: WordHas
 
 def _paths(docs: DataFrame, window: int, minimizer: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, ids, words, size = WordHashes(), [], [], 0
+        hashes, ids, words, size = per_process(WordHashes), [], [], 0
         for batch in batches:
             for doc, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids.append(doc)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zephyrload.llm.common import WordHashes, as_bytes, bound_batches, bounded_sample, held_out, map_texts, plain_words
+from zephyrload.llm.common import WordHashes, as_bytes, bound_batches, bounded_sample, held_out, map_texts, per_process, plain_words
 
 MOST_PER_LABEL = 4000
 MIN_DOCS = 10
@@ -132,7 +132,7 @@ def train(
     texts = docs.select(F.col(doc_id).alias("doc_id"), as_bytes(text).alias("text"))
 
     def features(batches):
-        hashes = WordHashes()
+        hashes = per_process(WordHashes)
         for batch in batches:
             found = [term_hashes(d, hashes).tobytes() for d in batch["text"]]
             yield pd.DataFrame({"label": batch["label"], "nth": batch["nth"], "terms": found})
@@ -151,7 +151,7 @@ def score(
     shared = docs.sparkSession.sparkContext.broadcast(machine)  # bounded by the training sample
 
     def factory():
-        machine, hashes = shared.value, WordHashes()
+        machine, hashes = shared.value, per_process(WordHashes)
 
         def compute(texts):
             found = [machine.score(term_hashes(t, hashes)) for t in texts]
