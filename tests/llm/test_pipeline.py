@@ -1,0 +1,59 @@
+"""The pipeline's stages against brute force on a small corpus."""
+
+import corpus_pipeline
+import pytest
+
+from tests.llm.conftest import sentence
+from tests.llm.test_exact import PLAIN, brute_components, brute_hits, brute_kept, lower
+from zephyrload.llm.common import table
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("corpus")
+    item, passage = sentence(500, 14), sentence(501, 60, 3000)
+    rows = []
+    for k in range(300):
+        text = sentence(k, 70, 5000).capitalize() + "."
+        if k % 10 == 3:
+            text = " ".join(w + "###" for w in text.upper().split())
+        elif k % 10 == 4:
+            text = rows[k - 2][1] + " again"
+        elif k % 10 == 5:
+            text += " " + passage
+        elif k % 50 == 6:
+            text += " " + item
+        rows.append((k, text, "en", f"src{k % 3}", len(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(3).write.parquet(f"{root}/documents.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{root}/benchmark.parquet")
+    labels = [(k, int(k % 10 != 3), 0) for k in range(300)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{root}/labels.parquet")
+    return str(root)
+
+
+def test_stages(spark, folder):
+    docs = table(spark, folder, "documents")
+    stages = dict(corpus_pipeline.STAGES)
+    assert len(stages) == 5
+
+    def pairs(df):
+        return sorted((r.doc_id, r.text) for r in df.collect())
+
+    good = stages["quality classifier"](spark, docs, folder)
+    assert {i for i, _ in pairs(good)} == {k for k in range(300) if k % 10 != 3}
+    apart = stages["near-duplicates"](spark, good, folder)
+    want = brute_components(pairs(good))
+    assert [i for i, _ in pairs(apart)] == [i for i, (_, c) in sorted(want.items()) if i == c]
+    cut = stages["repeated passages"](spark, apart, folder)
+    kept = brute_kept(pairs(apart))
+    assert [(i, t.split()) for i, t in pairs(cut)] == sorted(kept.items())
+    assert all(r.n_chars == len(r.text) for r in cut.collect())
+    clean = stages["benchmark decontamination"](spark, cut, folder)
+    items = [(r.item_id, r.text) for r in table(spark, folder, "benchmark").collect()]
+    assert pairs(clean) == [(i, t) for i, t in pairs(cut) if not brute_hits(t, items)[1]]
+    for df in (good, apart, cut, clean):
+        assert df.columns == docs.columns
+    packed = corpus_pipeline.run(spark, folder)
+    assert {r.doc_id for r in packed.collect()} == {i for i, _ in pairs(clean)}
+    assert all(PLAIN.findall(lower(t)) for _, t in pairs(clean))

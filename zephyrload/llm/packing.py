@@ -175,6 +175,8 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
 def plans(histogram: dict[int, int], capacity: int, plan_pieces: int) -> tuple[list, dict]:
     """Placements of all lengths below ``capacity``, longest first.
 
+    A plan holds at least ``capacity`` placements, so that some length always fills a lane.
+
     Rows (length, first rank, first sequence, offset): ranks first rank + i, for i
     below lanes, go to sequence first sequence + i. The lanes of a length's ranks:
     length -> [(from rank, lanes)], in order.
@@ -183,7 +185,7 @@ def plans(histogram: dict[int, int], capacity: int, plan_pieces: int) -> tuple[l
     left = {size: n for size, n in histogram.items() if 0 < size < capacity and n}
     ranks = dict.fromkeys(left, 0)
     while left:
-        lanes = -(-sum(left.values()) // plan_pieces)
+        lanes = -(-sum(left.values()) // max(plan_pieces, capacity))
         sizes = np.array(sorted((s for s in left if left[s] >= lanes), reverse=True), np.int64)
         times = np.array([left[s] // lanes for s in sizes.tolist()], np.int64)
         for size in sizes.tolist():
