@@ -110,7 +110,7 @@ PAGE = (
 
 def test_main_text(spark):
     rows = [(k, "u", PAGE.format(sentence(k, 30).replace(" ", "\n\t", 3))) for k in range(40)]
-    rows += [(100, "u", None), (101, "u", ""), (102, "u", "<p"), (103, "u", PAGE.format("cut off")[:-120]), (104, "u", "plain words")]
+    rows += [(100, "u", None), (101, "u", ""), (102, "u", "<p"), (103, "u", PAGE.format("cut off")[:-100]), (104, "u", "plain words")]
     rows += [(105, "u", "<body><div id=menu>a b</div><div><p>one <b>t</b>wo<br>three &#233;</div><form>no</form>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     weights = html_text.train(pages)
