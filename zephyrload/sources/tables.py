@@ -8,6 +8,7 @@ and a failed refresh leaves the old content in place.
 from __future__ import annotations
 
 import uuid
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,10 +62,14 @@ def publish(
     return spark.table(name)
 
 
-def publish_days(df: DataFrame, name: str, day: str = "utc_day") -> DataFrame:
+def publish_days(
+    df: DataFrame, name: str, day: str = "utc_day", span: tuple[date, date] | None = None
+) -> DataFrame:
     """Replace only the days that ``df`` holds, in a table stored by day.
 
-    Repeating the call leaves the same content, so a lost job is simply rerun.
+    With a ``span``, ``df`` is all there is for its days: stored days of the span that
+    ``df`` has no row for are dropped. Repeating the call leaves the same content, so a
+    lost job is simply rerun.
     """
     spark = df.sparkSession
     layer, short = name.split(".")
@@ -78,6 +83,12 @@ def publish_days(df: DataFrame, name: str, day: str = "utc_day") -> DataFrame:
         rows.write.mode("overwrite").insertInto(current)
     finally:
         spark.conf.set(mode, before)
+    if span is not None:
+        held = {r[0] for r in rows.select(day).distinct().collect()}
+        for stored in spark.sql(f"SHOW PARTITIONS {current}").collect():
+            value = stored.partition.split("=", 1)[1]
+            if str(span[0]) <= value <= str(span[1]) and date.fromisoformat(value) not in held:
+                spark.sql(f"ALTER TABLE {current} DROP IF EXISTS PARTITION ({day} = DATE'{value}')")
     spark.catalog.refreshTable(current)
     return spark.table(name)
 

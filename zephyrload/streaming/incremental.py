@@ -56,7 +56,10 @@ def current_rows(
     with very many versions is never gathered in one place. Rows with a NULL
     key are all kept, like those of an upsert that finds no match.
     """
-    keyed = log.dropna(subset=keys)
+    every = log.dropna(subset=keys)
+    # a NULL hash is never a change: it stays where a key began with it and else counts for nothing
+    began = keep_first(every, keys, [at]).filter(F.col(hash_column).isNull()).select(*log.columns)
+    keyed = every.filter(F.col(hash_column).isNotNull()).join(began.select(*keys), keys, "left_anti")
     seen = (
         keyed.groupBy(*keys, hash_column)
         .agg(F.max(at).alias("_last"))
@@ -81,7 +84,7 @@ def current_rows(
         .select(*log.columns)
     )
     any_null = " OR ".join(f"{k} IS NULL" for k in keys)
-    return keep_first(candidates, keys, [at]).unionByName(log.filter(any_null))
+    return keep_first(candidates, keys, [at]).unionByName(began).unionByName(log.filter(any_null))
 
 
 def first_rows(log: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
