@@ -19,8 +19,7 @@ Defined cases: a NULL or empty text has 0 tokens; special strings are plain text
 from __future__ import annotations
 
 from array import array
-from collections.abc import Callable
-from operator import sub
+from collections.abc import Callable, Iterable
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -31,7 +30,10 @@ from zephyrload.llm.common import map_texts, per_process
 LIMIT = 4096
 #: Words remembered by one worker process at a time.
 MOST_WORDS = 1_000_000
+#: Neighbouring pieces whose joining it remembers at a time.
+MOST_PAIRS = 2_000_000
 SPACE = "▁"
+MISSING = object()
 
 FIELDS = [
     T.StructField("n_bytes", T.LongType()),
@@ -62,56 +64,81 @@ class PrefixCounter:
             for p, ids in zip(texts, model.encode(["\n" + p for p in texts], num_threads=1), strict=True)
             if ids[self.lead :] == [named[p]]
         }
-        self.longest = max(map(len, self.pieces))
-        self.pairs: dict[tuple[str, str], bool] = {}
+        #: texts that end some piece: the tokens known to come before it or not, None if no piece itself
+        self.endings: dict[str, dict[str, bool] | None] = {
+            p[at:]: None for p in self.pieces for at in range(1, len(p))
+        }
+        self.endings.update((p, {"": True}) for p in self.pieces)
+        self.n_pairs = 0
         self.words: dict[str, bytes] = {}
         self.most_words = most_words
 
-    def _joins(self, pair: tuple[str, str]) -> bool:
+    def _joins(self, before: str, token: str) -> bool:
         """Whether two pieces stay two tokens when their texts stand together."""
-        if len(self.pairs) >= 2_000_000:
-            self.pairs.clear()
-        ids = self.model.encode("\n" + pair[0] + pair[1])[self.lead :]
-        known = self.pairs[pair] = ids == [self.pieces[pair[0]], self.pieces[pair[1]]]
-        return known
-
-    def word(self, word: str) -> bytes:
-        """Change of the count with every character of a word."""
-        pieces, pairs, longest = self.pieces, self.pairs, self.longest
-        counts, last = [0], [""]
-        for end in range(1, len(word) + 1):
-            for start in range(max(0, end - longest), end):
-                token = word[start:end]
-                if token in pieces:
-                    before = last[start]
-                    joins = True
-                    if before:
-                        joins = pairs.get((before, token))
-                        if joins is None:
-                            joins = self._joins((before, token))
+        if self.n_pairs >= MOST_PAIRS:
+            for p in self.pieces:
+                self.endings[p] = {"": True}
+            self.n_pairs = 0
+        ids = self.model.encode("\n" + before + token)[self.lead :]
+        joins = self.endings[token][before] = ids == [self.pieces[before], self.pieces[token]]
+        self.n_pairs += 1
+        return joins
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Remember the change of the count with every character of each word.
+
+        Words are taken in order, so a word goes on from the prefix it shares with the
+        one before it.
+        """
+        endings, known = self.endings, self.words
+        counts, last, changes, previous = [0], [""], [], ""
+        for word in sorted(words):
+            shared = 0
+            for a, b in zip(word, previous, strict=False):
+                if a != b:
+                    break
+                shared += 1
+            del counts[shared + 1 :], last[shared + 1 :], changes[shared:]
+            previous = word
+            for end in range(shared + 1, len(word) + 1):
+                found = []
+                for start in range(end - 1, -1, -1):
+                    token = word[start:end]
+                    befores = endings.get(token, MISSING)
+                    if befores is MISSING:
+                        break
+                    if befores is not None:
+                        found.append((start, token, befores))
+                for start, token, befores in reversed(found):
+                    joins = befores.get(last[start])
+                    if joins is None:
+                        joins = self._joins(last[start], token)
                     if joins:
-                        counts.append(counts[start] + 1)
-                        last.append(token)
+                        count = counts[start] + 1
                         break
-            else:
-                counts.append(counts[end - 1] + len(word[end - 1].encode()))
-                last.append("")  # bytes join with nothing
-        return array("i", map(sub, counts[1:], counts)).tobytes()
-
-    def changes(self, text: str) -> np.ndarray:
-        """Change of the count with every character, after the mark put before a text."""
-        known, out = self.words, []
-        for word in _words(text):
-            change = known.get(word)
-            if change is None:
-                if len(known) >= self.most_words:
-                    known.clear()
-                change = known[word] = self.word(word)
-            out.append(change)
-        return np.frombuffer(b"".join(out), "i4")
+                else:
+                    token, count = "", counts[-1] + len(word[end - 1].encode())  # bytes join with nothing
+                changes.append(count - counts[-1])
+                counts.append(count)
+                last.append(token)
+            known[word] = array("i", changes).tobytes()
+
+    def changes(self, texts: list[str]) -> list[np.ndarray]:
+        """Change of the count with every character of each text, after the mark put before it."""
+        split = [_words(t) if t else [] for t in texts]
+        known = self.words
+        fresh = {w for words in split for w in words if w not in known}
+        if len(known) + len(fresh) > self.most_words:
+            known.clear()
+            fresh = {w for words in split for w in words}
+        self.learn(fresh)
+        return [np.frombuffer(b"".join(map(known.__getitem__, words)), "i4") for words in split]
 
     def prefixes(self, text: str) -> PrefixCounts:
-        return PrefixCounts(self.changes(text) if text else np.zeros(0, np.int32))
+        return self.prefixes_of([text])[0]
+
+    def prefixes_of(self, texts: list[str]) -> list[PrefixCounts]:
+        return [PrefixCounts(c) for c in self.changes(texts)]
 
 
 class PrefixCounts:
@@ -164,7 +191,7 @@ def token_counts(
         counter = per_process(PrefixCounter, model_path)
 
         def compute(texts: list[bytes | None]) -> list:
-            found = [counter.prefixes(data.decode() if data else "") for data in texts]
+            found = counter.prefixes_of([data.decode() if data else "" for data in texts])
             return [
                 [len(data or b"") for data in texts],
                 [f.total() for f in found],
