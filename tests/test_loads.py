@@ -55,3 +55,28 @@ def test_responses_from_files_to_landing(spark, tmp_path):
     assert load("b", response(0, 500, "busy"), keep_good=True) == [("2026-07-01T04", 200, 2)]
     assert load("c", response(0, 500, "busy")) == [("2026-07-01T04", 500, 0)]
     assert load("d", response(0, 200, good)) == [("2026-07-01T04", 200, 2)]
+
+
+def test_loads_replace_only_changed_days(spark, tmp_path):
+    """A batch leaves the files of other days and of unchanged days as they are."""
+    tables.create_layers(spark)
+
+    def load(name, *items, **options):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "r.json").write_text("\n".join(map(json.dumps, items)))
+        stored = loads.load_responses(spark, str(tmp_path / name), "landing.by_day", **options)
+        files = {r[0]: r[1] for r in stored.select(F.col("utc_day").cast("string"), F.input_file_name()).distinct().collect()}
+        return files, rows(stored, "target_dt", "page", "record_count")
+
+    def at(day, page, count):
+        return response(5000 * page, 200, envelope(*[record() for _ in range(count)]), f"2026-07-0{day}T04")
+
+    before, _ = load("a", at(1, 0, 1), at(2, 0, 1), at(2, 1, 1), at(3, 0, 1))
+    after, stored = load("b", at(2, 0, 2), at(3, 0, 1), at(4, 0, 1))
+    assert [r[2] for r in stored] == [1, 2, 1, 1, 1] and len(stored) == 5
+    assert {d for d in after if before.get(d) != after[d]} == {"2026-07-02", "2026-07-04"}
+    cut = response(0, 200, '{"response": {"da', "2026-07-02T04")
+    _, kept = load("c", cut, strict=False, keep_good=True)
+    assert kept == stored
+    _, failed = load("d", cut, strict=False)
+    assert [r[2] for r in failed] == [1, 0, 1, 1, 1]

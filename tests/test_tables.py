@@ -139,3 +139,22 @@ def test_refreshing_days_equals_refreshing_all(spark):
     refresh.refresh_silver(spark)
     refresh.refresh_gold(spark)
     assert content(gold) == by_days and content(silver[:2]) == facts
+
+
+def test_newest_rows_reads_back_no_further_than_needed(spark):
+    """The newest rows are found in the newest days alone, gaps and other zones between."""
+    from datetime import date, timedelta
+
+    from zephyrload.sources.tables import newest_rows, publish, stored_days
+
+    tables.create_layers(spark)
+    first = date(2026, 1, 1)
+    data = [(first + timedelta(days=n), "J" if n < 33 else "K", n) for n in range(40) if n != 38]
+    stored = publish(spark.createDataFrame([*data, (None, "J", 99)], "utc_day date, zone string, n int"), "silver.newest", "", ("utc_day",))
+    days = stored_days(spark, "silver.newest")
+    assert days == sorted({d for d, *_ in data}, reverse=True)
+    found = newest_rows(stored.filter("zone = 'J'"), days)
+    assert {32} <= {r.n for r in found.collect()} <= set(range(25, 33))
+    assert len(found.inputFiles()) < len(stored.inputFiles()) / 2
+    assert [r.n for r in newest_rows(stored, days).collect()] == [39]
+    assert newest_rows(stored.filter("zone = 'X'"), days).count() == 0 == newest_rows(stored, []).count()

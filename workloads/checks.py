@@ -9,6 +9,7 @@ from workloads.feeds import table
 from workloads.models import G1_SQL, USER_ZONE, letter
 from zephyrload import schemas
 from zephyrload.operators import quality
+from zephyrload.plans import silver
 
 _RULES = {
     "valid_type": "kind IS NOT NULL",
@@ -43,6 +44,23 @@ def q2_demand_key_audit(spark, sf):
     return quality.key_audit(feeds.demand_fact(spark, sf), ["period_timestamp", "sub_ba_code"])
 
 
+def q2_contract_keys(spark, sf):
+    """All declared keys of the dimensions; a county lies in the zones of all its event types."""
+    weather = feeds.weather_bronze(spark, sf, feeds.type_zone(feeds.WEATHER_ZONES))
+    return quality.contract_key_audit(
+        [
+            (schemas.DIM_BALANCING_AUTHORITY, models.d1_balancing_authority(spark, sf)),
+            (schemas.DIM_ENERGY_SOURCE, models.d2_energy_source(spark, sf)),
+            (schemas.DIM_METRIC_TYPE, models.d3_metric_type(spark, sf)),
+            (schemas.DIM_SUBREGION, models.d4_subregion(spark, sf)),
+            (schemas.DIM_COUNTY, silver.dimension(weather, schemas.DIM_COUNTY)),
+            (schemas.DIM_NYISO_ZONE, models.d6_nyiso_zone(spark, sf)),
+            (schemas.DIM_WEATHER_STATION, models.d7_weather_station(spark, sf)),
+            (schemas.DIM_COMBINED_ZONE, models.d8_combined_zone(spark, sf)),
+        ]
+    )
+
+
 def q3_reference_audit(spark, sf):
     suppliers = table(spark, sf, "supplier")
     return quality.reference_audit(table(spark, sf, "events"), "user_id", suppliers, "s_suppkey")
@@ -72,6 +90,7 @@ QUERIES = {
     "q1_violations": q1_violations,
     "q2_key_audit": q2_key_audit,
     "q2_demand_key_audit": q2_demand_key_audit,
+    "q2_contract_keys": q2_contract_keys,
     "q3_reference_audit": q3_reference_audit,
     "q3_contract_references": q3_contract_references,
     "q4_acceptance": q4_acceptance,
@@ -83,7 +102,25 @@ holed as (
   from events)"""
 _ZONE = letter(f"'ZON' || {USER_ZONE}")
 
+_COUNTY = "select distinct 'S' || user_id || '-' || i as code, event_type from events cross join (values (0), (1), (2)) c(i)"
+_DIMENSIONS = {
+    "dim_balancing_authority": ("ba_code", models.ORACLE["d1_balancing_authority"]),
+    "dim_energy_source": ("fuel_code", models.ORACLE["d2_energy_source"]),
+    "dim_metric_type": ("type_code", models.ORACLE["d3_metric_type"]),
+    "dim_subregion": ("sub_ba_code", models.ORACLE["d4_subregion"]),
+    "dim_county": ("code", _COUNTY),
+    "dim_nyiso_zone": ("nyiso_zone", models.ORACLE["d6_nyiso_zone"]),
+    "dim_weather_station": ("station_id", models.ORACLE["d7_weather_station"]),
+    "dim_combined_zone": ("nyiso_zone", models.ORACLE["d8_combined_zone"]),
+}
+
 ORACLE = {
+    "q2_contract_keys": "\nunion all ".join(
+        f"""
+select 'silver.{name}' as table_name, coalesce(cast({key} as varchar), '') as key_values, count(*) as row_count
+from ({sql}) group by {key} having count(*) > 1"""
+        for name, (key, sql) in _DIMENSIONS.items()
+    ),
     "f3_expect": f"with {_HOLED} select * from holed where kind is not null and value is not null and user_id >= 0",
     "q1_violations": f"""
 with {_HOLED}

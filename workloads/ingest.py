@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from workloads import feeds
@@ -63,6 +65,23 @@ def s11_load_changed(spark, sf):
     return loaded
 
 
+def s11_load_by_day(spark, sf):
+    """The upsert into a table stored by a day that follows from the key."""
+    tables.create_layers(spark, fresh_path(spark, "layers"))
+    name = f"landing.order_days_{uuid.uuid4().hex[:8]}"
+    years = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("known"), F.to_date(F.trunc("o_orderdate", "year")).alias("first_day")
+    )
+
+    def dated(pages):
+        known = F.when(F.col("o_orderkey") < 0, -F.col("o_orderkey") - 1).otherwise(F.col("o_orderkey"))
+        return pages.withColumn("known", known).join(years, "known").drop("known")
+
+    for batch in (_order_pages(spark, sf), _order_refetch(spark, sf), _order_refetch(spark, sf)):
+        loaded = upserts.load_changed(spark, dated(batch), name, ["o_orderkey"], day_column="first_day")
+    return loaded.drop("first_day")
+
+
 def _order_pages(spark, sf):
     """Orders as stored pages: key, payload, hash of the payload."""
     return _hashed(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"))
@@ -369,15 +388,11 @@ def a11_distinct_counts(spark, sf):
 
 
 def u2_concat(spark, sf):
-    """Frames of the five event types put together again."""
-    frames = [
-        table(spark, sf, "events").filter(F.col("event_type") == kind).select("event_id", "event_type", "value")
-        for kind in feeds.DEMAND_ZONES
-    ]
-    whole = frames[0]
-    for frame in frames[1:]:
-        whole = whole.unionByName(frame)
-    return whole
+    """Frames of events with a low value, a high one and none, put together again."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "value")
+    low = F.col("value") < 50
+    parts = [events.filter(low), events.filter(~low), events.filter(low.isNull())]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- hours -------------------------------------------------------------------
@@ -397,7 +412,13 @@ def t_gap_hours(spark, sf):
 
 
 def t_dst_days(spark, sf):
-    return gaps.hours_per_local_day(feeds.operations_bronze(spark, sf), ["type_code"], "period")
+    """All hours of the UTC days with shipments, over years with clock changes."""
+    days = table(spark, sf, "lineitem").select("l_returnflag", "l_shipdate").distinct()
+    hours = days.withColumn("hour", F.explode(F.sequence(F.lit(0), F.lit(23))))
+    at = F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.col("hour"))
+    return gaps.hours_per_local_day(
+        hours.select("l_returnflag", hour_key(at).alias("period")), ["l_returnflag"], "period"
+    )
 
 
 _SPINE_SQL = f"""
@@ -416,6 +437,7 @@ QUERIES = {
     "s11_upsert_changed": s11_upsert_changed,
     "s11_keep_good": s11_keep_good,
     "s11_load_changed": s11_load_changed,
+    "s11_load_by_day": s11_load_by_day,
     "s12_insert_only": s12_insert_only,
     "r_inc": r_inc,
     "f9_high_water": f9_high_water,
@@ -463,6 +485,7 @@ from events where event_type <> 'error'""",
     "s11_upsert_changed": _upsert_sql("true"),
     "s11_keep_good": _upsert_sql("s.o_orderstatus <> 'O'"),
     "s11_load_changed": _upsert_sql("true"),
+    "s11_load_by_day": _upsert_sql("true"),
     "s12_insert_only": _INSERT_ONLY_SQL,
     "r_inc": f"""
 select {HOUR} as target_dt, event_id // 1000 + 1 as page, cast(200 as bigint) as status_code,
@@ -508,8 +531,9 @@ select event_type as type_code, u as ba_code, hour_key as period from series, sp
 where not exists (
   select 1 from seen where seen.event_type = series.event_type and seen.u = series.u and h = hour_key)""",
     "t_dst_days": f"""
-with h as (select distinct event_type, date_trunc('hour', ts) as started from events)
-select event_type as type_code,
+with d as (select distinct l_returnflag, l_shipdate from lineitem),
+h as (select l_returnflag, unnest(generate_series(l_shipdate, l_shipdate + interval 23 hour, interval 1 hour)) as started from d)
+select l_returnflag,
   cast(timezone('America/New_York', timezone('UTC', started)) as date) as local_day, count(*) as hours_present,
   count(*) >= 23 as is_complete_day
 from h group by 1, 2""",

@@ -451,8 +451,12 @@ def p9_local_date(spark, sf):
 
 
 def p13_p17_measures(spark, sf):
-    """Degree days, bands, flags, uplift and rounding over account balances."""
+    """Degree days, bands, flags, uplift and rounding over account balances.
+
+    Eighths lie halfway between two hundredths, on both sides of zero.
+    """
     balance = F.col("c_acctbal") / 64
+    eighths = F.floor(F.col("c_acctbal")) / 8
     return table(spark, sf, "customer").select(
         "c_custkey",
         measures.heating_degree_days(F.when(balance > 0, balance)).alias("heating"),
@@ -462,6 +466,7 @@ def p13_p17_measures(spark, sf):
         measures.is_complete(F.col("c_nationkey")).alias("complete"),
         measures.uplift(balance, F.col("c_nationkey")).alias("uplift"),
         measures.uplift_percent(balance, F.col("c_nationkey")).alias("uplift_percent"),
+        measures.rounded(eighths).alias("rounded"),
     )
 
 
@@ -566,12 +571,12 @@ from customer""",
 with k as (select strftime(l_shipdate + to_hours(l_linenumber + 1), '%Y-%m-%dT%H') as hour_key from lineitem)
 select hour_key, count(*) as items, {local_day('hour_key')} as local_day from k group by 1""",
     "p13_p17_measures": """
-with b as (select c_custkey, c_nationkey, c_acctbal / 64 as x from customer),
+with b as (select c_custkey, c_nationkey, c_acctbal / 64 as x, floor(c_acctbal) / 8 as e from customer),
 l as (select *, cast(floor(x / 5) * 5 as integer) as low from b)
 select c_custkey, case when x > 0 then greatest(65 - x, 0) end as heating,
   case when x > 0 then greatest(x - 65, 0) end as cooling, low as band_low,
   low || '-' || (low + 5) || 'F' as band, c_nationkey >= 23 as complete, x - c_nationkey as uplift,
-  (x - c_nationkey) / nullif(c_nationkey, 0) * 100 as uplift_percent
+  (x - c_nationkey) / nullif(c_nationkey, 0) * 100 as uplift_percent, round(e, 2) as rounded
 from l""",
     "f1_zone_filter": f"""
 select md5(concat_ws('-', {HOUR}, 'ZONJ', user_id)) as srd_id, {HOUR} as period_timestamp,

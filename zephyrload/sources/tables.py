@@ -93,6 +93,30 @@ def publish_days(
     return spark.table(name)
 
 
+def stored_days(spark: SparkSession, name: str, day: str = "utc_day") -> list[date]:
+    """The days a published table is stored by, newest first, from its partition list."""
+    layer, short = name.split(".")
+    current = f"{layer}.{_generations(spark, layer, short)[-1]}"
+    values = [r.partition.split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {current}").collect()]
+    return sorted((date.fromisoformat(v) for v in values if v[:1].isdigit()), reverse=True)
+
+
+def newest_rows(rows: DataFrame, days: list[date], day: str = "utc_day") -> DataFrame:
+    """Rows of the newest days that hold any, without reading the days before them.
+
+    Days are tried from the newest on, in spans of one, two, four and so on; the first
+    span with a row is the result, and holds the newest rows of all.
+    """
+    at, span = 0, 1
+    while at < len(days):
+        newest, oldest = days[at], days[min(at + span, len(days)) - 1]
+        found = rows.filter(F.col(day).between(F.lit(oldest), F.lit(newest)))
+        if not found.isEmpty():
+            return found
+        at, span = at + span, 2 * span
+    return rows.filter(F.lit(False))
+
+
 def _generations(spark: SparkSession, layer: str, short: str) -> list[str]:
     found = spark.sql(f"SHOW TABLES IN {layer} LIKE '{short.lower()}__*'")
     return sorted(row.tableName for row in found.collect())
