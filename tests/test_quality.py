@@ -85,3 +85,11 @@ def test_conformed_join_disappears(spark):
     out = lookups.conformed_zones(left, right, {"code": "zone"}, {"zone": "code", "zone_name": "name"})
     assert rows(out) == [("J", "n")]
     assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_acceptance_counts_codes_outside_the_grain(spark):
+    """Codes of rows that share a grain row; a NULL code is no orphan, a repeated dimension row adds none."""
+    model = spark.createDataFrame([("d1", "a", 1), ("d1", "x", 2), ("d2", "x", 3), ("d2", None, 4)], "d string, c string, n int")
+    dim = spark.createDataFrame([("a",), ("a",)], "code string")
+    report = {r.check_name: r.detail for r in quality.acceptance(model, ["d"], "d", 2, "c", dim, "code").collect()}
+    assert report == {"not_empty": 4, "one_row_per_grain": 2, "grain_known": 0, "no_overall_row": 0, "expected_days": 2, "keys_matched": 2}
