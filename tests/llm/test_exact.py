@@ -149,6 +149,31 @@ def test_repeated_passages(make_docs, monkeypatch):
             assert row.n_words - row.n_removed == len(want[row.doc_id])
 
 
+@pytest.mark.parametrize("chunk", [200, 100_000])
+def test_repeated_passages_are_verified(make_docs, monkeypatch, chunk):
+    """Fingerprints of two bits, so that most windows under one smallest hash share one."""
+
+    def colliding(*arguments):
+        from zephyrload.llm import repeats as module
+
+        whole = module.rolling
+        module.rolling = lambda h, width: whole(h, width) & (3 if width == module.WINDOW else 0xFFFFFFFFFFFFFFFF)
+        try:
+            return module.chunk_paths(*arguments)
+        finally:
+            module.rolling = whole
+
+    monkeypatch.setattr(repeats, "chunk_paths", colliding)
+    monkeypatch.setattr(repeats, "CHUNK_WORDS", chunk)
+    line = sentence(79, 9)
+    texts = [f"{sentence(k, 30)} {line} {sentence(k + 50 - k % 2, 30)}" for k in range(24)]
+    texts += [texts[3] + " tail", sentence(90, 8) + " " + texts[5], "x " * 60]
+    pairs = list(enumerate(texts))
+    want = brute_kept(pairs)
+    found = repeats.documents_without_repeats(make_docs(pairs).repartition(3))
+    assert {r.doc_id: r.text.split() for r in found.collect()} == want
+
+
 def test_repeated_passages_odd(make_docs, odd_docs):
     docs = make_docs(odd_docs)
     cut = repeats.documents_without_repeats(docs)

@@ -7,14 +7,18 @@ in the same document; the words under repeated edges are removed.
 * Consecutive edges of a document that share their smallest ``MINIMIZER``-word hash form
   a path. Equal edges have equal smallest hashes, so paths are dealt by that hash and
   equal edges meet, while a path costs one row.
-* Edges that recur within a chunk of documents are settled there and only the chunk's
-  first goes on, so a passage however common reaches a bucket at most once a chunk.
+* Edges that recur within a chunk of documents are settled there, word by word, and only
+  the chunk's first goes on, so a passage however common reaches a bucket once a chunk.
 * A bucket sorts its edges by fingerprint and place; the first is the source. Runs of
   repeated edges whose sources run along with them (paths without a branch) are
   compacted to one span with the coordinates of its source.
+* The source's coordinates verify every span: the words of both places are fetched and
+  compared by SHA-256. Windows that differ from their source are compared among each
+  other; their words' first window stays.
 * Spans join their document, where spans that meet are compacted further.
 
-Fingerprints hold 112 bits: the 64 of the smallest hash and 48 of the whole window.
+Fingerprints only propose sources: 48 bits of the whole window tell apart the windows
+under one smallest hash.
 
 Defined cases: a NULL or empty text has no words; fewer words than a window have no
 edge; a NULL id comes after all others and NULL ids count as one; rows that repeat an id
@@ -23,6 +27,7 @@ count as one document, so equal rows keep equal words.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zephyrload.llm.common import WordHashes, as_bytes, bound_batches, flatten, free_name, mix, per_process
+from zephyrload.llm.common import WordHashes, as_bytes, bound_batches, flatten, free_name, mix, per_process, stage
 
 WINDOW = 20
 MINIMIZER = 6
@@ -67,6 +72,20 @@ def _runs(*changes: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, np.logical_or.reduce(changes)])
 
 
+def _confirm(again: np.ndarray, at: np.ndarray, source: np.ndarray, flat: list[bytes], window: int) -> None:
+    """Take back the repeats of a chunk whose words are not those of their source."""
+    found = np.flatnonzero(again)
+    if not len(found):
+        return
+    here, there = at[found], at[source[found]]
+    begins = _runs(here[1:] != here[:-1] + 1, there[1:] != there[:-1] + 1)
+    for b, n in zip(begins.tolist(), np.diff(np.r_[begins, len(found)]).tolist(), strict=True):
+        x, y, width = int(here[b]), int(there[b]), n + window - 1
+        if flat[x : x + width] != flat[y : y + width]:
+            for k in range(n):
+                again[found[b + k]] = flat[x + k : x + k + window] == flat[y + k : y + k + window]
+
+
 def chunk_paths(ids: list[int | None], words: list[list[bytes]], hashes: WordHashes, window: int, minimizer: int):
     """Path rows of a chunk; rows without edges are spans settled within the chunk."""
     order = sorted(range(len(ids)), key=lambda k: _LAST if ids[k] is None else ids[k])
@@ -87,6 +106,7 @@ def chunk_paths(ids: list[int | None], words: list[list[bytes]], hashes: WordHas
     _, first, inverse = np.unique(edge, return_index=True, return_inverse=True)
     source = first[inverse]
     again = (own != own[source]) | (start != start[source])
+    _confirm(again, at, source, flat, window)
     begins = _runs(
         text[1:] != text[:-1],
         start[1:] != start[:-1] + 1,
@@ -180,6 +200,7 @@ def repeated_spans(
     """Runs of repeated windows: doc_id, first start, number of windows, and where they run first.
 
     The largest 64-bit integer stands for a NULL id; a source of -1 lies in the same chunk.
+    All words have been compared with the source's.
     """
     spark = docs.sparkSession
     bound_batches(spark)
@@ -192,7 +213,66 @@ def repeated_spans(
         if held:
             yield bucket_spans(pa.Table.from_batches(held))
 
-    return _paths(source, window, minimizer).repartition(buckets, "key").mapInArrow(settle, _SPANS)
+    spans = _paths(source, window, minimizer).repartition(buckets, "key").mapInArrow(settle, _SPANS)
+    texts = source.withColumn("doc_id", F.coalesce("doc_id", F.lit(int(_LAST))))
+    return _verified(stage(spans, "repeat-spans"), texts, window)
+
+
+def _passages(asked: DataFrame, texts: DataFrame, window: int) -> DataFrame:
+    """doc_id, start, n and the digests of the words under these windows, one for each text of the id."""
+    # staged, so that its size is known and a small one spares the texts a shuffle
+    listed = stage(asked.groupBy(F.col("doc_id").alias("of_")).agg(F.collect_set(F.struct("start", "n")).alias("asked")), "repeat-asked")
+    joined = texts.join(listed, F.col("doc_id") == F.col("of_")).select("doc_id", "text", "asked")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc, data, asked in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words = data.split() if data else []
+                for start, n in ((x["start"], x["n"]) for x in asked):
+                    passage = words[start : start + n + window - 1]
+                    if len(passage) == n + window - 1:  # an id's other texts may be shorter
+                        out.append((doc, start, n, hashlib.sha256(b" ".join(passage)).digest()))
+            kinds = pa.int64(), pa.int32(), pa.int32(), pa.binary()
+            columns = zip(*out, strict=True) if out else [()] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "start", "n", "words"]
+            )
+
+    found = joined.mapInArrow(run, "doc_id long, start int, n int, words binary")
+    return stage(found.groupBy("doc_id", "start", "n").agg(F.collect_set("words").alias("words")), "repeat-words")
+
+
+def _compared(spans: DataFrame, texts: DataFrame, window: int) -> DataFrame:
+    """The spans with the digests of their words and whether their source's words are the same."""
+    own = ["doc_id", "start", "n"]
+    other = [F.col("from_doc").alias("doc_id"), F.col("from_start").alias("start"), "n"]
+    found = _passages(spans.select(*own).union(spans.select(*other)), texts, window)
+    there = found.select(F.col("doc_id").alias("from_doc"), F.col("start").alias("from_start"), "n", F.col("words").alias("there"))
+    both = spans.join(found, own).join(there, ["from_doc", "from_start", "n"])
+    return stage(both.select(*spans.columns, "words", F.arrays_overlap("words", "there").alias("same")), "repeat-compared")
+
+
+def _verified(spans: DataFrame, texts: DataFrame, window: int) -> DataFrame:
+    """The spans without windows that only a fingerprint matched with their source."""
+    columns = spans.columns
+    compared = _compared(spans.where("from_start >= 0"), texts, window)
+    sure = spans.where("from_start < 0").union(compared.where("same").select(*columns))
+    apart = compared.where(~F.col("same"))
+    if apart.isEmpty():
+        return sure
+    step = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("step")
+    single = apart.select(*columns, step).select(
+        "doc_id", (F.col("start") + F.col("step")).alias("start"), F.lit(1).alias("n"),
+        "from_doc", (F.col("from_start") + F.col("step")).alias("from_start"),
+    )
+    single = _compared(single, texts, window)
+    # equal windows have one fingerprint and one source, so all of them are here or none
+    left = single.where(~F.col("same")).select("doc_id", "start", "n", F.explode("words").alias("words"))
+    first = left.groupBy("words").agg(F.min(F.struct("doc_id", "start")).alias("first"))
+    later = left.join(first, "words").where(F.struct("doc_id", "start") != F.col("first"))
+    later = later.select("doc_id", "start", "n", F.col("first.doc_id").alias("from_doc"), F.col("first.start").alias("from_start"))
+    return sure.union(single.where("same").select(*columns)).union(later)
 
 
 def without_repeats(
