@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -120,3 +121,19 @@ def test_main_text(spark):
     assert [found[k] for k in (100, 101, 102, 104, 105)] == ["", "", "", "plain words", "one two three é"]
     assert found[103].startswith("Head & shoulders cut off Last.")
     assert html_text.extract(pages.limit(0), html_text.train(pages.limit(0))).count() == 0
+
+
+def test_main_text_in_wrappers():
+    """Elements named as left out that hold the article, with and without learned weights."""
+    head, body, last = sentence(4, 20), sentence(3, 60), sentence(5, 20)
+    weights = html_text.learn(sum((html_text.count_places(PAGE.format(sentence(k, 30))) for k in range(40)), Counter()))
+    article = f"<article><h1>{head}</h1><p>{body}</p><aside>see also</aside><p>{last}</p></article>"
+    plain = f"<div><p>{body}</p><div class='ad'>buy now</div><p>{last}</p></div>"
+    late = f"<main><p>{body}</p></main><aside><article><p>a teaser of another text</p></article></aside>"
+    for learned in (weights, {}):
+        for opened in ("<form>", "<nav>home", "<header>site", "<aside>x", "<main><form>", "<div class='has-sidebar'><form>"):
+            assert html_text.main_text(opened + article, learned) == f"{head} {body} {last}"
+        for opened in ("<form>", "<div class='content has-sidebar'>", "<div id=search-result-page><div class=with-comments>"):
+            assert html_text.main_text(opened + plain, learned) == f"{body} {last}"
+        assert html_text.main_text(f"<article><div class='has-sidebar'>{plain}</div></article>", learned) == f"{body} {last}"
+        assert html_text.main_text(late, learned) == body

@@ -5,7 +5,10 @@ block element, its class, inside a link or not), tags score negative by their na
 The weights are log odds from labelled pages, pages whose markup names its main part
 (article or main). One linear scan finds the contiguous region of the largest sum.
 Elements that are named as menus, notices, adverts, forms or comments are left out:
-they score nothing, so one inside an article does not part it, and give no text. What
+they score nothing, so one inside an article does not part it, and give no text. That
+holds for parts of a page, not for what is wrapped around its text: an article or main
+part that opens ends it for the elements around, and an element whose words score more
+than ``WRAPPED`` times the best of what is not left out is taken for a wrapper. What
 remains of the region is decoded and joined block by block.
 
 Bounds: weights are learned from at most ``MOST_PAGES`` labelled pages.
@@ -32,6 +35,8 @@ from zephyrload.llm.common import as_bytes, bound_batches, bounded_sample, map_t
 MOST_PAGES = 2000
 #: Places seen fewer times than this in the labelled pages get the default weight.
 MIN_SEEN = 5
+#: How many times the rest an element named as left out must score to be a wrapper.
+WRAPPED = 10
 
 # Element names by their role in HTML, and words in class, id and role
 # names that mark a part as no article text.
@@ -43,6 +48,8 @@ BLOCKS = frozenset(
     "summary table tbody td tfoot th thead tr ul".split()
 )
 LEFT_OUT = frozenset("head nav header footer aside form button menu dialog fieldset label".split())
+#: Of these, those that hold teasers, which are articles too, once the main part has given words.
+TEASERS = frozenset("nav footer aside".split())
 MARKS = frozenset(
     "ad ads adsense alert advert adverts advertisement advertising banner breadcrumb breadcrumbs comment commentlist comments "
     "complementary consent contentinfo cookie cookies disqus footer form header login masthead menu menubar modal "
@@ -71,10 +78,12 @@ class Page:
     """Words and tags of a page in order, each with the place it stands in."""
 
     def __init__(self, source: str):
-        #: (place, text or None for a tag, breaks a block, left out, inside article or main)
-        self.tokens: list[tuple[str, str | None, bool, bool, bool]] = []
-        self.stack: list[tuple[str, str, bool]] = []  # name, class word, left out by class
-        self.labelled = False
+        #: (place, text or None for a tag, breaks a block, numbers of the left out elements around, inside article or main)
+        self.tokens: list[tuple[str, str | None, bool, tuple[int, ...], bool]] = []
+        #: name, class word, number if left out or 0, whether the main part had given words
+        self.stack: list[tuple[str, str, int, bool]] = []
+        self.labelled = self.given = False
+        self.parts = 0
         at = 0
         for m in _TOKEN.finditer(source):
             if m.start() > at:
@@ -88,15 +97,16 @@ class Page:
             self._text(source[at:])
 
     def _add(self, place: str, text: str | None, breaks: bool) -> None:
-        out = any(left or name in LEFT_OUT for name, _, left in self.stack)
-        inside = any(name in ("article", "main") for name, _, _ in self.stack)
+        out = tuple(part for _, _, part, _ in self.stack if part)
+        inside = any(x[0] in ("article", "main") for x in self.stack)
+        if inside and not out and text and not text.isspace():
+            self.given = True
         self.tokens.append((place, text, breaks, out, inside))
 
     def _text(self, text: str) -> None:
-        block = next((x for x in reversed(self.stack) if x[0] in BLOCKS), ("", "", False))
-        link = "/a" if any(name == "a" for name, _, _ in self.stack) else ""
-        out = next((name for name, _, left in self.stack if left or name in LEFT_OUT), "")
-        self._add(f"{block[0]}.{block[1]}{link}!{out}", text, False)
+        block = next((x for x in reversed(self.stack) if x[0] in BLOCKS), ("", ""))
+        link = "/a" if any(x[0] == "a" for x in self.stack) else ""
+        self._add(f"{block[0]}.{block[1]}{link}", text, False)
 
     def _tag(self, name: str, close: bool, rest: str) -> None:
         if close:
@@ -112,10 +122,13 @@ class Page:
                 self.stack.pop()
         if name in ("article", "main"):
             self.labelled = True
-            self.stack = [(n, w, False) for n, w, _ in self.stack]  # a wrapper of the article is none of its parts
+            # a wrapper of the article is none of its parts
+            self.stack = [x if x[0] in TEASERS and x[3] else (*x[:2], 0, x[3]) for x in self.stack]
             left = False
         if name not in VOID and not rest.endswith("/") and name not in ("html", "body"):
-            self.stack.append((name, word, left))
+            self.parts += 1
+            part = self.parts if left or name in LEFT_OUT else 0
+            self.stack.append((name, word, part, self.given))
         self._add(f"<{name}.{word}", None, name in BLOCKS)
 
 
@@ -142,22 +155,34 @@ def learn(seen: Counter) -> dict[str, float]:
 
 def main_text(source: str | None, weights: dict[str, float]) -> str:
     """The decoded text of the best region, blocks joined by one space."""
-    tokens = Page(source).tokens if source else []
-    best, best_span, total, start = 0.0, (0, 0), 0.0, 0
-    for k, (place, text, _, out, _) in enumerate(tokens):
-        if out:
-            weight = 0.0
-        elif text is None:
-            weight = weights.get(place, -0.5 if weights else -3.0)
+    page = Page(source or "")
+    tokens, scores = page.tokens, []
+    for place, text, _, _, _ in tokens:
+        if text is None:
+            scores.append(weights.get(place, -0.5 if weights else -3.0))
         else:
-            weight = len(text.split()) * weights.get(place, 1.0)
-        if total <= 0:
-            total, start = 0.0, k
-        total += weight
-        if total > best:
-            best, best_span = total, (start, k + 1)
+            scores.append(len(text.split()) * weights.get(place, 1.0))
+    wrappers: set[int] = set()
+    while True:
+        left = [next((part for part in out if part not in wrappers), 0) for _, _, _, out, _ in tokens]
+        best, best_span, total, start = 0.0, (0, 0), 0.0, 0
+        held: dict[int, float] = {}
+        most: dict[int, float] = {}
+        for k, part in enumerate(left):
+            if part and (tokens[k][4] or not page.labelled):
+                held[part] = max(held.get(part, 0.0), 0.0) + scores[k]
+                most[part] = max(most.get(part, 0.0), held[part])
+            if total <= 0:
+                total, start = 0.0, k
+            total += 0.0 if part else scores[k]
+            if total > best:
+                best, best_span = total, (start, k + 1)
+        part = max(most, key=most.__getitem__, default=0)
+        if not part or most[part] <= WRAPPED * best:
+            break
+        wrappers.add(part)
     parts = []
-    for _, text, breaks, out, _ in tokens[slice(*best_span)]:
+    for (_, text, breaks, _, _), out in zip(tokens[slice(*best_span)], left[slice(*best_span)], strict=True):
         if text is not None:
             parts.append("" if out else html.unescape(text))
         elif breaks:
