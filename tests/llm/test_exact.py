@@ -174,6 +174,27 @@ def test_repeated_passages_are_verified(make_docs, monkeypatch, chunk):
     assert {r.doc_id: r.text.split() for r in found.collect()} == want
 
 
+def test_repeated_passages_of_a_heavy_hash(make_docs, monkeypatch):
+    """A short line with different text around it puts many different windows under one smallest hash."""
+    monkeypatch.setattr(repeats, "HEAVY_EDGES", 60)
+    monkeypatch.setattr(repeats, "HEAVY_SAMPLE", 1)
+    hashes = repeats.WordHashes()
+    line = min((sentence(k, 6) for k in range(500)), key=lambda x: repeats.rolling(hashes.of(x.encode().split()), 6)[0])
+    texts = [f"{sentence(k, 30)} {line} {sentence(1000 + k, 30)}" for k in range(60)]
+    texts += [texts[k] + " tail" for k in range(0, 60, 7)]
+    pairs = list(enumerate(texts))
+    docs = make_docs(pairs).repartition(3)
+    source = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+
+    def most(heavy):
+        rows = repeats._paths(source, 20, 6, heavy).where(F.octet_length("edges") > 0)
+        return rows.groupBy("key").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0]
+
+    heavy = repeats._heavy_keys(source, 20, 6)
+    assert most(None) > 300 and len(heavy) and most(heavy) <= 60
+    assert {r.doc_id: r.text.split() for r in repeats.documents_without_repeats(docs).collect()} == brute_kept(pairs)
+
+
 def test_repeated_passages_odd(make_docs, odd_docs):
     docs = make_docs(odd_docs)
     cut = repeats.documents_without_repeats(docs)

@@ -6,7 +6,8 @@ in the same document; the words under repeated edges are removed.
 
 * Consecutive edges of a document that share their smallest ``MINIMIZER``-word hash form
   a path. Equal edges have equal smallest hashes, so paths are dealt by that hash and
-  equal edges meet, while a path costs one row.
+  equal edges meet, while a path costs one row. Under a hash that very many edges share,
+  by a sample's count, edges are dealt by their own hash too: equal ones still meet.
 * Edges that recur within a chunk of documents are settled there, word by word, and only
   the chunk's first goes on, so a passage however common reaches a bucket once a chunk.
 * A bucket sorts its edges by fingerprint and place; the first is the source. Runs of
@@ -43,6 +44,10 @@ MINIMIZER = 6
 #: Words of a chunk, and bytes of text a bucket stands for.
 CHUNK_WORDS = 400_000
 BUCKET_BYTES = 16 << 20
+#: Edges under one smallest hash from which on they are dealt one by one, and the share
+#: of documents, one in so many, that they are counted on. Neither changes the result.
+HEAVY_EDGES = 1_000_000
+HEAVY_SAMPLE = 32
 
 _LAST = np.iinfo(np.int64).max
 _PATHS = "key long, doc_id long, start int, n int, edges binary"
@@ -86,8 +91,13 @@ def _confirm(again: np.ndarray, at: np.ndarray, source: np.ndarray, flat: list[b
                 again[found[b + k]] = flat[x + k : x + k + window] == flat[y + k : y + k + window]
 
 
-def chunk_paths(ids: list[int | None], words: list[list[bytes]], hashes: WordHashes, window: int, minimizer: int):
-    """Path rows of a chunk; rows without edges are spans settled within the chunk."""
+def chunk_paths(
+    ids: list[int | None], words: list[list[bytes]], hashes: WordHashes, window: int, minimizer: int, heavy: np.ndarray | None = None
+):
+    """Path rows of a chunk; rows without edges are spans settled within the chunk.
+
+    Edges under the smallest hashes ``heavy`` have keys and rows of their own.
+    """
     order = sorted(range(len(ids)), key=lambda k: _LAST if ids[k] is None else ids[k])
     flat, ends = flatten([words[k] for k in order])
     if not flat:
@@ -102,6 +112,8 @@ def chunk_paths(ids: list[int | None], words: list[list[bytes]], hashes: WordHas
         return None
     edge = rolling(h, window)[at]
     low = sliding_min(rolling(h, minimizer), window - minimizer + 1)[at]
+    if heavy is not None and len(heavy):
+        low = np.where(np.isin(low, heavy), mix(low ^ edge), low)
     own, text, start = own[at], text[at], start[at]
     _, first, inverse = np.unique(edge, return_index=True, return_inverse=True)
     source = first[inverse]
@@ -132,7 +144,7 @@ def chunk_paths(ids: list[int | None], words: list[list[bytes]], hashes: WordHas
     )
 
 
-def _paths(docs: DataFrame, window: int, minimizer: int) -> DataFrame:
+def _paths(docs: DataFrame, window: int, minimizer: int, heavy: np.ndarray | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, ids, words, size = per_process(WordHashes), [], [], 0
         for batch in batches:
@@ -141,15 +153,23 @@ def _paths(docs: DataFrame, window: int, minimizer: int) -> DataFrame:
                 words.append(data.split() if data else [])
                 size += len(words[-1])
                 if size >= CHUNK_WORDS:
-                    if (made := chunk_paths(ids, words, hashes, window, minimizer)) is not None:
+                    if (made := chunk_paths(ids, words, hashes, window, minimizer, heavy)) is not None:
                         yield made
                     ids, words, size = [], [], 0
-        if (made := chunk_paths(ids, words, hashes, window, minimizer)) is not None:
+        if (made := chunk_paths(ids, words, hashes, window, minimizer, heavy)) is not None:
             yield made
 
     return docs.mapInArrow(run, _PATHS)
 
 
+def _heavy_keys(docs: DataFrame, window: int, minimizer: int) -> np.ndarray:
+    """Smallest hashes that many edges share: at most as many as ``HEAVY_EDGES`` goes into all edges."""
+    part = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(HEAVY_SAMPLE)) == 0)
+    edges = _paths(part, window, minimizer).where(F.octet_length("edges") > 0)
+    found = edges.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") * HEAVY_SAMPLE > HEAVY_EDGES)
+    return np.array([r.key for r in found.select("key").collect()], np.int64).view(np.uint64)
+
+
 def bucket_spans(rows: pa.Table) -> pa.RecordBatch:
     """Repeated spans among the paths of whole buckets, with their sources (-1: settled before)."""
     key, doc, start, n = (rows.column(k).to_numpy() for k in range(4))
@@ -213,7 +233,9 @@ def repeated_spans(
         if held:
             yield bucket_spans(pa.Table.from_batches(held))
 
-    spans = _paths(source, window, minimizer).repartition(buckets, "key").mapInArrow(settle, _SPANS)
+    # a word takes two bytes at least
+    heavy = _heavy_keys(source, window, minimizer) if size > 2 * HEAVY_EDGES else None
+    spans = _paths(source, window, minimizer, heavy).repartition(buckets, "key").mapInArrow(settle, _SPANS)
     texts = source.withColumn("doc_id", F.coalesce("doc_id", F.lit(int(_LAST))))
     return _verified(stage(spans, "repeat-spans"), texts, window)
 
