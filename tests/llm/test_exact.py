@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.conftest import sentence
 from zephyrload.llm import decontaminate, near_dup, packing, queries, repeats, repetition, token_counts
+from zephyrload.llm.common import stage
 
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -67,6 +68,26 @@ def test_decontamination(spark, make_docs, odd_docs, block):
     assert empty.count() == docs.count()
 
 
+def test_decontamination_bounds_automata(make_docs, spark, monkeypatch):
+    """Every automaton is bounded by its windows, also within an item, and hits are staged between them."""
+    item = sentence(41, 60)
+    bench = spark.createDataFrame([(1, item), (2, item + " end")], "item_id long, text string")
+    sizes, scanner, staged = [], decontaminate.map_texts, []
+    monkeypatch.setattr(decontaminate, "stage", lambda df, label: staged.append(label) or stage(df, label))
+
+    def counted(df, text, keep, fields, factory):
+        sizes.append(sum(map(len, factory.__defaults__[0])))
+        return scanner(df, text, keep, fields, factory)
+
+    monkeypatch.setattr(decontaminate, "map_texts", counted)
+    docs = make_docs([(1, "a " + item + " b"), (2, sentence(42, 30))]).drop("hits")
+    found = decontaminate.benchmark_hits(docs, bench, block_bytes=800)
+    rows = {r.doc_id: r.hits for r in found.collect()}
+    assert max(sizes) <= 800 and 2 < len(sizes) == len(staged) and staged.count("hits") == len(sizes) - 1
+    assert [(s.start, s.end) for s in rows[1].word_spans] == [(1, 61)] and rows[1].items == ["1", "2"]
+    assert rows[2].word_spans == [] and rows[2].items == []
+
+
 def test_decontamination_places_upper_case(make_docs, spark):
     docs = make_docs([(1, "Say: ALPHA-Beta gamma!")])
     bench = spark.createDataFrame([(7, "alpha beta")], "item_id long, text string")

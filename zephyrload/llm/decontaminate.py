@@ -14,18 +14,20 @@ repeat an item_id count as one item; repeated document rows are scanned each.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zephyrload.llm.common import free_name, map_texts, plain_words
+from zephyrload.llm.common import free_name, map_texts, plain_words, stage
 
 WINDOW = 10
-#: Bytes of benchmark text one automaton is built from; a larger benchmark is
-#: scanned in several passes, each with its own automaton.
-AUTOMATON_BYTES = 32 << 20
+#: Bytes of windows, of which each word is in up to ``WINDOW``, that one automaton is
+#: built from and so the most nodes it has; a larger benchmark is scanned in several
+#: passes, each with its own automaton and its hits staged before the next.
+AUTOMATON_BYTES = 8 << 20
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -107,17 +109,22 @@ def _characters(data: bytes | None, spans: list[tuple[int, int]]) -> list[dict]:
     return [{"start": words[a][0], "end": words[b - 1][1]} for a, b in spans]
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str, most: int):
-    """The benchmark in blocks of bounded size, one at a time in the driver."""
-    block, size = [], 0
+def _blocks(benchmark: DataFrame, item_id: str, text: str, window: int, most: int):
+    """The benchmark's patterns in blocks of bounded size, one at a time in the driver.
+
+    A long item is cut between two windows, so its windows may be in several blocks.
+    """
+    patterns: dict[str, tuple[int, set[str]]] = {}
+    size = 0
     for row in benchmark.select(F.col(item_id).cast("string"), F.col(text).cast("binary")).toLocalIterator():
-        data = bytes(row[1]) if row[1] is not None else b""
-        if block and size + len(data) > most:
-            yield block
-            block, size = [], 0
-        block.append((row[0], data))
-        size += len(data)
-    yield block
+        for pattern, found in item_windows([(row[0], bytes(row[1]) if row[1] is not None else None)], window).items():
+            if pattern not in patterns:
+                if patterns and size + len(pattern) > most:
+                    yield patterns
+                    patterns, size = {}, 0
+                size += len(pattern)
+            patterns.setdefault(pattern, (found[0], set()))[1].update(found[1])
+    yield patterns
 
 
 def benchmark_hits(
@@ -134,31 +141,44 @@ def benchmark_hits(
     char_spans and items (ids as text, sorted)."""
     keep = docs.columns if keep is None else keep
     found = free_name(docs, "hits")
-    scanned = docs
-    passes = []
-    for block in _blocks(benchmark, item_id, item_text, block_bytes):
-        patterns = item_windows(block, window)
-        name = f"{found}_{len(passes)}"
-        carried = [*dict.fromkeys([*keep, text]), *passes]
+    row = free_name(docs, "row")
+    carried = [*dict.fromkeys([*keep, text])]
+    first, later = None, []
+    for patterns in _blocks(benchmark, item_id, item_text, window, block_bytes):
 
         def factory(patterns=patterns):
             scan = _scanner(patterns)
             return lambda texts: [[dict(zip(("n_words", "word_spans", "char_spans", "items"), x)) for x in zip(*scan(texts))]]
 
-        scanned = map_texts(scanned, text, carried, [T.StructField(name, T.StructType(HITS))], factory)
-        passes.append(name)
+        fields = [T.StructField(found, T.StructType(HITS))]
+        if first is None:
+            first = map_texts(docs, text, carried, fields, factory)
+            continue
+        if not later:
+            first = stage(first.withColumn(row, F.monotonically_increasing_id()), "scanned")
+        more = map_texts(first, text, [row], fields, factory).where(F.size(f"{found}.word_spans") > 0)
+        later.append(stage(more, "hits"))
+    if not later:
+        return first.select(*[F.col(f"`{c}`") for c in keep], found)
+    every, of = free_name(docs, "every"), free_name(docs, "of_row")
+    more = reduce(DataFrame.union, later).groupBy(F.col(row).alias(of)).agg(F.collect_list(found).alias(every))
+    joined = first.join(more, F.col(row) == F.col(of), "left")
+    none = F.array().cast(T.ArrayType(T.StructType(HITS)))
+    parts = F.concat(F.array(found), F.coalesce(F.col(every), none))
     merged = F.struct(
-        F.col(f"{passes[0]}.n_words").alias("n_words"),
-        *(_union([F.col(f"{p}.{c}") for p in passes]).alias(c) for c in ("word_spans", "char_spans")),
-        F.array_sort(F.array_distinct(F.flatten(F.array(*[F.col(f"{p}.items") for p in passes])))).alias("items"),
+        F.col(f"{found}.n_words").alias("n_words"),
+        *(_union(F.transform(parts, _member(c))).alias(c) for c in ("word_spans", "char_spans")),
+        F.array_sort(F.array_distinct(F.flatten(F.transform(parts, _member("items"))))).alias("items"),
     )
-    return scanned.select(*[F.col(f"`{c}`") for c in keep], merged.alias(found))
+    return joined.select(*[F.col(f"`{c}`") for c in keep], merged.alias(found))
+
+
+def _member(name: str):
+    return lambda hits: hits[name]
 
 
-def _union(columns: list):
-    """Union of span arrays as one sorted array of disjoint spans."""
-    if len(columns) == 1:
-        return columns[0]
+def _union(spans):
+    """Union of an array of span arrays as one sorted array of disjoint spans."""
 
     def step(done, span):
         last = F.element_at(done, -1)
@@ -169,7 +189,7 @@ def _union(columns: list):
         )
 
     empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    return F.aggregate(F.array_sort(F.flatten(F.array(*columns))), empty, step)
+    return F.aggregate(F.array_sort(F.flatten(spans)), empty, step)
 
 
 def digest(item_ids: str | F.Column) -> F.Column:
