@@ -1,0 +1,121 @@
+"""Byte-level BPE against the public library, and round trips."""
+
+import random
+import sys
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from zephyrload.llm import bpe
+from zephyrload.llm.queries import op11_byte_bpe, tokenizer_path
+
+PATH = tokenizer_path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+@pytest.fixture(scope="module")
+def ours():
+    return bpe.ByteBpe(PATH)
+
+
+def numbers(ids):
+    return np.frombuffer(ids, "<u4").tolist()
+
+
+def library_ids(library, texts):
+    return [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_every_code_point_is_split_like_the_library(library, ours):
+    points = [c for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"a{chr(c)}1!{chr(c)}a  {chr(c)}" for c in points[i : i + 64]) for i in range(0, len(points), 64)]
+    found = ours.encode([t.encode() for t in texts])
+    assert [numbers(f) for f in found] == library_ids(library, texts)
+
+
+def test_odd_texts(library, ours):
+    r = random.Random(1)
+    parts = list("ab' tsrevl1.!\n\t 　  \x1c\x85é漢😀<|\U0010ffff") + [
+        "'s", "  ", "<|endoftext|>", "\r\n", "====", "a" * 40, "\x01", "\x00", " '", "   ",
+    ]
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(60))) for _ in range(4000)]
+    found = ours.encode([t.encode() for t in texts])
+    assert [numbers(f) for f in found] == library_ids(library, texts)
+    assert [ours.decode(f) for f in found] == texts
+
+
+def test_long_runs_and_windows(library, ours, monkeypatch):
+    """A run without certain cuts, and a text of many windows of chunks."""
+    monkeypatch.setattr(bpe, "WINDOW", 50)
+    r = random.Random(2)
+    texts = ["a" * 5000, "=" * 3001, " " * 2000, "".join(r.choice("abé漢") for _ in range(3000)), "word and more\n" * 700, "", "x"]
+    found = ours.encode([t.encode() for t in texts])
+    assert [numbers(f) for f in found] == library_ids(library, texts)
+
+
+def test_rows_and_heap_merge_alike(ours):
+    r = random.Random(3)
+    fragments = [bytes(r.choice(b"abcdeths \xc3\xa9") for _ in range(r.randrange(1, bpe.ARRAY_BYTES + 1))) for _ in range(500)]
+    assert [numbers(i) for i in ours.merge(fragments)] == [ours._merge_long(f) for f in fragments]
+
+
+def test_forced_boundaries():
+    tokens = [b"ab", b"abc", b"d", b"", b"ca"]
+    inside = np.flatnonzero(bpe.inside_pairs(tokens))
+    assert inside.tolist() == sorted({256 * t[i] + t[i + 1] for t in tokens for i in range(len(t) - 1)})
+
+
+def test_memory_bound_changes_nothing(library):
+    small = bpe.ByteBpe(PATH, memory_bytes=2000)
+    texts = [f"text number {i} and {i % 7} words" for i in range(300)]
+    assert [numbers(f) for f in small.encode([t.encode() for t in texts])] == library_ids(library, texts)
+    assert small.chunks.held <= 2000 and small.fragments.held <= 2000
+
+
+def test_decode_like_the_library(library, ours):
+    r = random.Random(4)
+    for _ in range(300):
+        ids = [r.randrange(50_300) for _ in range(12)]  # broken characters, ids beyond the vocabulary
+        assert ours.decode(np.array(ids, "<u4").tobytes()) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_other_files_are_refused():
+    with pytest.raises(ValueError, match="no byte-level BPE file"):
+        bpe.ByteBpe(tokenizer_path("word_bpe_49k.json"))
+
+
+def test_frames(spark, make_docs, odd_docs, library):
+    docs = make_docs(odd_docs).withColumnRenamed("hits", "a.b").withColumnRenamed("score", "IDS")
+    encoded = bpe.encode(docs, PATH)
+    assert encoded.columns == [*docs.columns, "ids_"]
+    rows = encoded.collect()
+    assert sorted((r.doc_id or 0, numbers(r["ids_"])) for r in rows) == sorted(
+        (i or 0, w) for (i, _), w in zip(odd_docs, library_ids(library, [t or "" for _, t in odd_docs]), strict=True)
+    )
+    decoded = bpe.decode(encoded, PATH, ids="ids_")
+    assert decoded.columns == [*encoded.columns, "text_"]
+    assert decoded.where(F.col("text_") != F.coalesce("text", F.lit(""))).count() == 0
+    nothing = make_docs([])
+    assert bpe.decode(bpe.encode(nothing, PATH, keep=["doc_id"]), PATH, keep=["doc_id"]).collect() == []
+
+
+def test_query(spark, library):
+    import hashlib
+
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = op11_byte_bpe(spark, sf).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
+        text = library.decode(ids, skip_special_tokens=False)
+        packed = np.array(ids, "<u4").tobytes()
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (
+            len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(text.encode()).hexdigest(),
+        )

@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zephyrload.llm import (
+    bpe,
+    centroids,
     decontaminate,
     html_text,
     langid,
+    lexical,
     near_dup,
     packing,
     repeats,
@@ -101,6 +104,26 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("byte_bpe_50k.json")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, keep=["doc_id"])
+    decoded = bpe.decode(encoded, path, keep=["doc_id", "ids"])
+    return decoded.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.clusters(table(spark, sf_dir, "embeddings")))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -114,6 +137,9 @@ QUERIES = {
         op8_token_counts,
         op9_site_quality,
         op10_packing,
+        op11_byte_bpe,
+        op12_centroids,
+        op13_lexical_search,
     )
 }
 
@@ -240,9 +266,70 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(seen) AS component_
 FROM d LEFT JOIN n USING (doc_id) JOIN reach USING (doc_id) GROUP BY d.doc_id, n.n
 """
 
+
+
+def _op12() -> str:
+    """Ten rounds, one after the other; lists hold the 64 entries."""
+    square = "list_sum(list_transform(range(1, 65), lambda i: (v.v[i] - c.v[i]) * (v.v[i] - c.v[i])))"
+    nearest = f"""
+SELECT v.vec_id, v.v, c.k, {square}::BIGINT AS d FROM v, c{{0}} c
+QUALIFY row_number() OVER (PARTITION BY v.vec_id ORDER BY d, c.k) = 1"""
+    steps = [
+        """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS k, v FROM v ORDER BY sha256('3:' || vec_id) LIMIT 8
+)"""
+    ]
+    for n in range(10):
+        steps.append(f"""
+a{n} AS MATERIALIZED ({nearest.format(n)}),
+s{n} AS MATERIALIZED (
+  SELECT k, list(m ORDER BY i) AS v FROM (
+    SELECT k, i, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS m
+    FROM (SELECT k, unnest(v) AS x, unnest(range(1, 65)) AS i FROM a{n}) GROUP BY k, i
+  ) GROUP BY k
+),
+c{n + 1} AS MATERIALIZED (SELECT k, coalesce(s.v, c.v) AS v FROM c{n} c LEFT JOIN s{n} s USING (k))""")
+    return f"""{",".join(steps)},
+a AS MATERIALIZED ({nearest.format(10)})
+SELECT vec_id, k::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY k))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c10.v, ',')) AS centroid_sha256
+FROM a JOIN c10 USING (k)"""
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_OP13 = f"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({_LOWER.format("text")}, '{_TERM}') AS w FROM documents
+),
+held AS (SELECT doc_id, r, w, len(w)::BIGINT AS n FROM d WHERE len(w) > 0),
+s AS (SELECT count(*)::BIGINT AS cn, sum(n)::BIGINT AS cl FROM held),
+m AS (SELECT doc_id, r, 75 + (25 * n * cn) // cl AS m FROM held, s),
+p AS (SELECT r, t, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS t FROM held) GROUP BY 1, 2),
+f AS (SELECT t, floor(1000 * ln((2 * cn + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, s GROUP BY t, cn),
+q AS (
+  SELECT item_id, t, count(*)::BIGINT AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all({_LOWER.format("text")}, '{_TERM}')) AS t FROM benchmark) GROUP BY 1, 2
+),
+scored AS (
+  SELECT item_id, r, m.doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM q JOIN f USING (t) JOIN p USING (t) JOIN m USING (r) GROUP BY ALL
+)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+  FROM scored WHERE score > 0
+) WHERE rank <= 20
+"""
+
 ORACLE = {
     "op2_decontamination": _OP2,
     "op5_repetition": _OP5,
     "op6_repeated_passages": _OP6,
     "op7_near_duplicates": _OP7,
+    "op12_centroids": _op12(),
+    "op13_lexical_search": _OP13,
 }
