@@ -107,18 +107,20 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 class WordHashes(dict):
-    """64-bit hash of a word, remembered for up to ``most`` words."""
+    """64-bit hash of a word, remembered for up to ``most`` words of no more than ``longest`` bytes."""
 
-    def __init__(self, most: int = 600_000):
+    def __init__(self, most: int = 600_000, longest: int = 64):
         super().__init__()
         import xxhash
 
-        self.most, self.hash = most, xxhash.xxh3_64_intdigest
+        self.most, self.longest, self.hash = most, longest, xxhash.xxh3_64_intdigest
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        value = self[word] = self.hash(word)
+        value = self.hash(word)
+        if len(word) <= self.longest:
+            if len(self) >= self.most:
+                self.clear()
+            self[word] = value
         return value
 
     def of(self, words: list[bytes]) -> np.ndarray:
@@ -172,18 +174,26 @@ def bounded_sample(df: DataFrame, by: str, most: int, identity: list[str]) -> Da
     """At most ``most`` rows of each value of ``by``, numbered by ``nth`` from 1.
 
     Rows are taken by the hash of ``identity``, so neither order nor partitioning
-    changes the choice. Counts are over all rows; a threshold on the hash then thins
-    each value to little more than ``most`` before anything is shuffled.
+    changes the choice; rows equal in it count once. Counts are over all rows, and a threshold on the
+    hash thins each value to little more than ``most``. Only values and hashes are
+    dealt out for that: sizes and chosen hashes are staged, so that their size is known
+    and the rows themselves, with their texts, are streamed past them.
     """
     slots = 1 << 30
-    sizes = df.groupBy(F.col(by).alias("value_")).agg(F.count("*").alias("size_"))
-    slot = F.pmod(F.xxhash64(*identity), F.lit(slots))
-    room = F.ceil(F.lit(float(slots)) * (1.2 * most + 100) / F.col("size_"))
+    value, hash_, nth = (free_name(df, n) for n in ("value", "hash", "nth"))
+    keyed = df.withColumns({value: F.col(by), hash_: F.xxhash64(*identity)})
+    sizes = stage(df.groupBy(F.col(by).alias("of_value")).agg(F.count("*").alias("size")), "sample-sizes")
+    room = F.ceil(F.lit(float(slots)) * (1.2 * most + 100) / F.col("size"))
+    slot = F.pmod(F.col("of_hash"), F.lit(slots))
     thinned = (
-        df.withColumn("slot_", slot)
-        .join(sizes, F.col(by) == F.col("value_"))
-        .where(F.col("slot_") < room)
-        .drop("value_", "size_")
+        keyed.select(F.col(value).alias("value"), F.col(hash_).alias("of_hash"))
+        .join(sizes, F.col("value") == F.col("of_value"))
+        .where(slot < room)
+        .select("of_value", "of_hash")
+        .distinct()
     )
-    first = Window.partitionBy(by).orderBy("slot_", *identity)
-    return thinned.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= most).drop("slot_")
+    first = Window.partitionBy("of_value").orderBy(slot, "of_hash")
+    numbered = thinned.withColumn("of_nth", F.row_number().over(first)).where(F.col("of_nth") <= most)
+    chosen = stage(numbered, "sample")
+    found = keyed.join(chosen, (F.col(value) == F.col("of_value")) & (F.col(hash_) == F.col("of_hash")))
+    return found.select(*[F.col(f"`{c}`") for c in df.columns], F.col("of_nth").alias(nth)).dropDuplicates([by, nth])

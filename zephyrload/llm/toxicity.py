@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zephyrload.llm.common import WordHashes, as_bytes, bound_batches, bounded_sample, held_out, map_texts, per_process, plain_words
+from zephyrload.llm.common import WordHashes, as_bytes, bound_batches, bounded_sample, held_out, map_texts, per_process, plain_words, stage
 
 MOST_PER_LABEL = 4000
 MIN_DOCS = 10
@@ -128,7 +128,8 @@ def train(
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label")).where(
         F.col("label").isin(0, 1) & ~held_out("doc_id")
     )
-    sample = bounded_sample(known, "label", most_per_label, ["doc_id"])
+    # staged: of known size, so the texts are streamed past it
+    sample = stage(bounded_sample(known, "label", most_per_label, ["doc_id"]), "labelled")
     texts = docs.select(F.col(doc_id).alias("doc_id"), as_bytes(text).alias("text"))
 
     def features(batches):
@@ -137,7 +138,7 @@ def train(
             found = [term_hashes(d, hashes).tobytes() for d in batch["text"]]
             yield pd.DataFrame({"label": batch["label"], "nth": batch["nth"], "terms": found})
 
-    found = sample.join(texts, "doc_id").select("label", "nth", "text")
+    found = texts.join(sample, "doc_id").select("label", "nth", "text")
     found = found.mapInPandas(features, "label int, nth int, terms binary")
     rows = sorted((r.nth, r.label, bytes(r.terms)) for r in found.toLocalIterator())
     return fit([(r[1], np.frombuffer(r[2], np.uint64)) for r in rows])
