@@ -127,7 +127,8 @@ def train(
     )
     sizes = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     base = sizes.get(1, 0) / max(sum(sizes.values()), 1)
-    sample = bounded_sample(known, "label", most_per_label, ["doc_id"])
+    # staged: of known size, so the texts are streamed past it
+    sample = stage(bounded_sample(known, "label", most_per_label, ["doc_id"]), "labelled")
 
     def features(batches):
         for batch in batches:
@@ -136,7 +137,7 @@ def train(
 
     texts = docs.select(F.col(doc_id).alias("doc_id"), as_bytes(text).alias("text"))
     schema = "label int, nth int, " + ", ".join(f"{m} double" for m in MEASURES)
-    found = sample.join(texts, "doc_id").select("label", "nth", "text").mapInPandas(features, schema).collect()
+    found = texts.join(sample, "doc_id").select("label", "nth", "text").mapInPandas(features, schema).collect()
     rows = sorted(tuple(r) for r in found)
     x = np.array([r[2:] for r in rows]).reshape(-1, len(MEASURES))
     return fit(x, np.array([r[0] for r in rows]), base)
@@ -207,22 +208,23 @@ def judge(
     model = train(docs, labels, text, doc_id)
     host_, path_, p_ = (free_name(docs, n) for n in ("host", "path", "p"))
     named = docs.withColumns({host_: F.col(host), path_: F.to_json(F.struct(*path))})
-    scored = evidence(named, model, text, [host_, path_], p_)
-    sites = site_posteriors(scored, host_, path_, p_).select(
-        F.col(host_).alias("h_"), F.col(path_).alias("l_"), F.struct("host_posterior", "path_posterior").alias("site_")
+    # one pass over the texts: sites sum up what is staged
+    scored = stage(evidence(named, model, text, [*keep, host_, path_], p_), "evidence")
+    h_, l_, site_ = (free_name(docs, n) for n in ("site_host", "site_path", "site"))
+    sites = site_posteriors(scored.select(host_, path_, p_), host_, path_, p_).select(
+        F.col(host_).alias(h_), F.col(path_).alias(l_), F.struct("host_posterior", "path_posterior").alias(site_)
     )
     verdict = free_name(docs, "verdict")
-    again = evidence(named, model, text, [*keep, host_, path_], p_)
-    joined = again.join(sites, F.col(host_).eqNullSafe(F.col("h_")) & F.col(path_).eqNullSafe(F.col("l_")), "left")
+    joined = scored.join(sites, F.col(host_).eqNullSafe(F.col(h_)) & F.col(path_).eqNullSafe(F.col(l_)), "left")
     added = _logit(F.col(p_)) - _logit(F.lit(float(model.base)))
-    score = 1 / (1 + F.exp(-(added + _logit(F.col("site_.path_posterior")))))
+    score = 1 / (1 + F.exp(-(added + _logit(F.col(f"{site_}.path_posterior")))))
     score = score if model.fitted else F.lit(1.0)
     return joined.select(
         *[F.col(f"`{c}`") for c in keep],
         F.struct(
             F.col(p_).alias("p"),
-            F.col("site_.host_posterior").alias("host_posterior"),
-            F.col("site_.path_posterior").alias("path_posterior"),
+            F.col(f"{site_}.host_posterior").alias("host_posterior"),
+            F.col(f"{site_}.path_posterior").alias("path_posterior"),
             score.alias("score"),
             (score >= threshold).alias("kept"),
         ).alias(verdict),
