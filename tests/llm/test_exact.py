@@ -322,14 +322,13 @@ def test_token_counts(make_docs, odd_docs, counter):
 # -- packing
 
 
-@settings(max_examples=40, deadline=None)
-@given(parts=st.lists(st.sampled_from([*PARTS, "<|endoftext|>", "\x1c", " \n b", "'s", "　"]), max_size=12))
-def test_word_encoder(parts):
-    encoder = test_word_encoder.encoder = getattr(test_word_encoder, "encoder", None) or packing.WordEncoder(
-        queries.tokenizer_path("byte_bpe_50k.json"), 50
-    )
-    text = "".join(parts)
-    assert encoder.encode([text, "x"])[0].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+def test_pieces_beside_clashing_columns(make_docs):
+    docs = make_docs([(1, "some words"), (2, None)]).withColumnRenamed("hits", "length").withColumnRenamed("score", "a.b")
+    path = queries.tokenizer_path("byte_bpe_50k.json")
+    found = packing.token_pieces(docs, path, keep=["doc_id", "length", "a.b"], with_ids=True)
+    assert found.columns == ["doc_id", "length", "a.b", "piece", "start", "length_", "ids_crc32", "ids"]
+    for r in found.collect():
+        assert zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length_ and r.length == "x"
 
 
 @pytest.mark.parametrize(("capacity", "plan"), [(1024, 1 << 16), (32, 1)])
@@ -378,6 +377,24 @@ def test_sum_of_squares_closes_sequences():
     assert placed == {5: 1001, 7: 3}
 
 
+def test_keys_are_settled_whole():
+    """Some keys at a time, one larger than the rest: the spans of all at once."""
+    import pyarrow as pa
+
+    r = random.Random(6)
+    rows = sorted((r.choice([1, 1, 1, 2, 3, 9]), d, 0, 4, bytes(r.choice(b"ab") for _ in range(24))) for d in range(60))
+    table = pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)],
+                     names=["key", "doc_id", "start", "n", "edges"])
+    whole = repeats.bucket_spans(table).to_pylist()
+    parts = list(repeats.settled_keys(iter(table.to_batches(max_chunksize=5)), most=12))
+    got = [x for b in parts for x in b.to_pylist()]
+
+    def windows(spans):
+        return sorted((x["doc_id"], x["start"] + k, x["from_doc"], x["from_start"] + k) for x in spans for k in range(x["n"]))
+
+    assert len(parts) > 2 and windows(got) == windows(whole)
+
+
 def test_passage_digest_of_nothing(make_docs):
     docs = make_docs([(1, None)]).drop("repeats")
     found = repeats.without_repeats(docs, keep=["doc_id", "text"])

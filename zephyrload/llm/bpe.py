@@ -39,15 +39,17 @@ from pyspark.sql import types as T
 
 from zephyrload.llm.common import as_bytes, bound_batches, per_process
 
-#: What a worker process remembers of chunks and of fragments, in bytes each.
-MEMORY_BYTES = 96 << 20
+#: What a worker process remembers of chunks, in bytes; of fragments it remembers a third of that.
+MEMORY_BYTES = 192 << 20
 #: Chunks looked up at a time.
 WINDOW = 1 << 16
 #: Fragments up to this length are merged side by side in an array, longer ones with a heap.
 ARRAY_BYTES = 24
 _ENTRY = 180  # bytes of a dictionary entry besides its key and value
-#: Stands between chunks that are split at once: the last code point, which is no character.
-_BETWEEN = "\U0010ffff".encode()
+#: Stands between chunks that are split at once: a code point that is no character.
+_BETWEEN = "\uffff".encode()
+#: Characters from U+10000 on begin with such a byte.
+_FAR = 0xF0
 
 # The white space and the contractions of the file kind's own splitting.
 _SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -61,19 +63,19 @@ def _kinds() -> np.ndarray:
     return np.array([unicodedata.category(chr(c))[0] for c in range(sys.maxunicode + 1)])
 
 
-def _characters(kind: str) -> str:
-    """Inside of a character class: all characters whose category begins with ``kind``."""
-    points = _kinds() == kind
+def _characters(kind: str, end: int) -> str:
+    """Inside of a character class: the characters below ``end`` whose category begins with ``kind``."""
+    points = _kinds()[:end] == kind
     edges = np.flatnonzero(np.diff(np.concatenate(([False], points, [False])).astype(np.int8)))
     return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in edges.reshape(-1, 2).tolist())
 
 
-def splitting_pattern(between: str = "") -> re.Pattern:
-    """The splitting into words that byte-level files of this kind name.
+def splitting_pattern(between: str = "", end: int = sys.maxunicode + 1) -> re.Pattern:
+    """The splitting into words that byte-level files of this kind name, for characters below ``end``.
 
     The character ``between``, if given, is a word by itself and ends a text as if nothing followed.
     """
-    letters, numbers = _characters("L"), _characters("N")
+    letters, numbers = _characters("L", end), _characters("N", end)
     apart = [between] if between else []
     # no two of the first four can begin alike, so the most frequent one stands first
     return re.compile(
@@ -110,7 +112,8 @@ class ByteBpe:
         self.special = {t["content"].encode(): t["id"] for t in spec["added_tokens"]}
         self._special = re.compile(b"|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) or b"(?!)")
         self._special_ids = {s: np.array([i], "<u4").tobytes() for s, i in self.special.items()}
-        self._words, self._plain_words = splitting_pattern(_BETWEEN.decode()), splitting_pattern()
+        # character classes within the first 65,536 code points are looked up, not searched
+        self._words, self._far_words = splitting_pattern(_BETWEEN.decode(), 1 << 16), splitting_pattern()
 
         size = 1 + max([*self.vocab.values(), *self.special.values()])
         self.size = size
@@ -128,9 +131,7 @@ class ByteBpe:
         right = np.array([numbers[b] for _, b in pairs], np.int64)
         made = np.array([numbers[a + b] for a, b in pairs], np.int64)
         keys = left * size + right
-        order = np.argsort(keys, kind="stable")
-        first = np.concatenate(([True], np.diff(keys[order]) > 0)) if len(order) else np.zeros(0, bool)
-        self._keys, self._ranks, self._made = keys[order][first], order[first], made[order][first]
+        self._keys, self._ranks = np.unique(keys, return_index=True)  # a pair's first rank
         self._by_rank = made
         self._rank_of: dict[int, int] | None = None
 
@@ -140,7 +141,7 @@ class ByteBpe:
         # pairs cut for certain by the vocabulary and by the splitting alike
         self._chunk_cut = ~self.inside & (~space[:, None] & space[None, :]).ravel()
         self.chunks = Remembered(memory_bytes)
-        self.fragments = Remembered(memory_bytes)
+        self.fragments = Remembered(memory_bytes // 3)
 
     # --- texts to ids --------------------------------------------------------
 
@@ -215,11 +216,14 @@ class ByteBpe:
 
     def _split_and_encode(self, chunks: list[bytes]) -> list[bytes]:
         """Words of every chunk, fragments of every word, their ids concatenated."""
-        data = _BETWEEN.join(chunks)
-        if data.count(_BETWEEN) != len(chunks) - 1:  # the separator occurs in a text: one by one
-            return [self._fragment_ids(c, self._words_apart(c))[0] for c in chunks]
-        ends = np.cumsum([len(c) + len(_BETWEEN) for c in chunks]) - len(_BETWEEN)
-        return self._fragment_ids(data, self._word_ends(data), ends)
+        near = [c for c in chunks if _BETWEEN not in c and max(c) < _FAR]
+        data = _BETWEEN.join(near)
+        ends = np.cumsum([len(c) + len(_BETWEEN) for c in near]) - len(_BETWEEN)
+        ids = self._fragment_ids(data, self._word_ends(data), ends) if near else []
+        if len(near) == len(chunks):
+            return ids
+        known = dict(zip(near, ids, strict=True))
+        return [known[c] if c in known else self._fragment_ids(c, self._words_apart(c))[0] for c in chunks]
 
     def _word_ends(self, data: bytes) -> np.ndarray:
         """Where the words of the file's splitting end; chunks stand between separators."""
@@ -229,7 +233,7 @@ class ByteBpe:
         return characters[np.cumsum(lengths)]
 
     def _words_apart(self, chunk: bytes) -> np.ndarray:
-        return np.cumsum([len(w.encode()) for w in self._plain_words.findall(chunk.decode())])
+        return np.cumsum([len(w.encode()) for w in self._far_words.findall(chunk.decode())])
 
     def _fragment_ids(self, data: bytes, word_ends: np.ndarray, ends: np.ndarray | None = None) -> list[bytes]:
         """Ids of each chunk of ``data``, from its fragments; chunks end at ``ends``."""
@@ -274,7 +278,7 @@ class ByteBpe:
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of pairs of ids; pairs that do not merge rank behind all."""
         none = len(self._by_rank)
-        if not len(self._keys):
+        if not none:
             return np.full(left.shape, none)
         key = left * self.size + right
         at = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)

@@ -20,8 +20,8 @@ kept; repeated rows are packed each.
 
 from __future__ import annotations
 
-import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,75 +29,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zephyrload.llm.common import map_texts, per_process, stage
+from zephyrload.llm.bpe import ByteBpe, added_name
+from zephyrload.llm.common import as_bytes, bound_batches, per_process, stage
 
 CAPACITY = 1024
 END_TOKEN = 2
 PLAN_PIECES = 1 << 16
-#: Distinct words whose ids one worker process remembers at a time.
-MOST_WORDS = 1_000_000
 #: Pieces a bucket holds on average.
 BUCKET_PIECES = 20_000
 
-PIECES = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("piece", T.IntegerType()),
-            T.StructField("start", T.LongType()),
-            T.StructField("length", T.LongType()),
-            T.StructField("ids_crc32", T.LongType()),
-            T.StructField("ids", T.BinaryType()),
-        ]
-    )
-)
-
-
-class WordEncoder:
-    """Ids of whole texts by a byte-level BPE file, remembering the ids of its words.
-
-    The file's own splitting never joins characters over the edge between a word
-    (with one space before it) and white space, so words are encoded apart. Texts
-    with a special string or with control characters that count as white space in
-    one library only are encoded whole.
-    """
-
-    _CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-    _ODD = re.compile("[\x1c-\x1f]")
-
-    def __init__(self, path: str, most_words: int = MOST_WORDS):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.most_words = most_words
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Little-endian unsigned 32-bit ids of every text."""
-        chunks = [
-            None if self._ODD.search(t) or any(s in t for s in self.special) else self._CHUNK.findall(t)
-            for t in texts
-        ]
-        known = self.known
-        fresh = list({w for words in chunks if words for w in words if w not in known})
-        if len(known) + len(fresh) > self.most_words:
-            known.clear()
-            fresh = list({w for words in chunks if words for w in words})
-        for at in range(0, len(fresh), 4096):
-            block = fresh[at : at + 4096]
-            for word, found in zip(block, self._whole(block), strict=True):
-                known[word] = np.array(found, "<u4").tobytes()
-        return [
-            np.array(self._whole([text])[0], "<u4")
-            if words is None
-            else np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4")
-            for text, words in zip(texts, chunks, strict=True)
-        ]
-
-    def _whole(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-
 def token_pieces(
     docs: DataFrame,
     tokenizer_path: str,
@@ -107,40 +47,51 @@ def token_pieces(
     end_token: int = END_TOKEN,
     with_ids: bool = False,
 ) -> DataFrame:
-    """One row per piece: columns ``keep``, piece, start, length, ids_crc32 (and ids)."""
-    keep = ["doc_id"] if keep is None else keep
-
-    def factory():
-        import os
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        encoder = per_process(WordEncoder, tokenizer_path)
+    """One row per piece: columns ``keep``, piece, start, length, ids_crc32 (and ids).
 
-        def compute(texts: list[bytes | None]) -> list:
-            out = []
-            for ids in encoder.encode([t.decode() if t else "" for t in texts]):
-                ids = np.append(ids, np.uint32(end_token)).astype("<u4")
-                first = len(ids) % capacity or capacity
-                edges = [0, *range(first, len(ids) + 1, capacity)]
-                out.append(
-                    [
-                        {
-                            "piece": k,
-                            "start": a,
-                            "length": b - a,
-                            "ids_crc32": zlib.crc32(ids[a:b].tobytes()),
-                            "ids": ids[a:b].tobytes() if with_ids else None,
-                        }
-                        for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False))
-                    ]
-                )
-            return [out]
-
-        return compute
-
-    cut = map_texts(docs, text, keep, [T.StructField("pieces_", PIECES)], factory)
-    rows = cut.select(*keep, F.inline("pieces_"))
-    return rows if with_ids else rows.drop("ids")
+    A new column whose name is kept already gets underscores.
+    """
+    keep = ["doc_id"] if keep is None else keep
+    bound_batches(docs.sparkSession)
+    quoted = ["`" + c.replace("`", "``") + "`" for c in keep]
+    # placeholder names inside the pass: column names may clash or hold dots
+    source = docs.select(*[F.col(q).alias(f"c{i}") for i, q in enumerate(quoted)], as_bytes(f"`{text}`").alias("value"))
+    fields = [T.StructField("piece", T.IntegerType()), *(T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32"))]
+    if with_ids:
+        fields.append(T.StructField("ids", T.BinaryType()))
+    schema = T.StructType([*(T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(keep)), *fields])
+    end = np.array([end_token], "<u4").tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = per_process(ByteBpe, tokenizer_path)
+        for batch in batches:
+            ids = bpe.encode(batch.column(batch.num_columns - 1).to_pylist())
+            data = memoryview(end.join([*ids, b""]))
+            n = np.array([len(i) // 4 + 1 for i in ids], np.int64)
+            pieces = -(-n // capacity)
+            row = np.repeat(np.arange(len(n)), pieces)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            # the first piece takes what does not fill a whole one
+            first = (n - (pieces - 1) * capacity)[row]
+            start = np.where(piece > 0, first + (piece - 1) * capacity, 0)
+            length = np.where(piece > 0, capacity, first)
+            low = 4 * ((np.cumsum(n) - n)[row] + start)
+            spans = list(zip(low.tolist(), (low + 4 * length).tolist(), strict=True))
+            made = [
+                pa.array(piece.astype(np.int32)),
+                pa.array(start),
+                pa.array(length),
+                pa.array([zlib.crc32(data[a:b]) for a, b in spans], pa.int64()),
+            ]
+            if with_ids:
+                made.append(pa.array([bytes(data[a:b]) for a, b in spans], pa.binary()))
+            kept = [batch.column(i).take(pa.array(row)) for i in range(len(keep))]
+            yield pa.RecordBatch.from_arrays([*kept, *made], names=schema.names)
+
+    names = list(keep)
+    for f in fields:
+        names.append(added_name(docs, names, f.name))
+    return source.mapInArrow(run, schema).toDF(*names)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
