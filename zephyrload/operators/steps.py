@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +26,28 @@ def stepped_mean(
     return df
 
 
+def partial_means(df: DataFrame, grain: list[str], measures: Mapping[str, str]) -> DataFrame:
+    """What means over ``grain`` are made of: a sum and a count of known values per measure.
+
+    Such rows of disjoint records add up to those of all (``merged_partials``), so new
+    records never need the old ones again.
+    """
+    sums = [F.sum(c).alias(f"{name}_sum") for name, c in measures.items()]
+    counts = [F.count(c).alias(f"{name}_count") for name, c in measures.items()]
+    return df.groupBy(*grain).agg(*sums, *counts)
+
+
+def merged_partials(parts: list[DataFrame], grain: list[str]) -> DataFrame:
+    """Sums and counts over all parts."""
+    every = reduce(DataFrame.unionByName, parts)
+    return every.groupBy(*grain).agg(*[F.sum(c).alias(c) for c in every.columns if c not in grain])
+
+
+def means_of(partials: DataFrame, grain: list[str], measures: list[str]) -> DataFrame:
+    """The means that sums and counts stand for; without a known value, NULL."""
+    return partials.select(*grain, *[F.try_divide(F.col(f"{m}_sum"), F.col(f"{m}_count")).alias(m) for m in measures])
+
+
 def hourly_demand(fact: DataFrame, hour: list[str], value: str = "value_mwh") -> DataFrame:
     """One row per hour of what daily figures need, combined ahead of the shuffle.
 
