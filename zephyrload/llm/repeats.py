@@ -10,7 +10,8 @@ in the same document; the words under repeated edges are removed.
   by a sample's count, edges are dealt by their own hash too: equal ones still meet.
 * Edges that recur within a chunk of documents are settled there, word by word, and only
   the chunk's first goes on, so a passage however common reaches a bucket once a chunk.
-* A bucket sorts its edges by fingerprint and place; the first is the source. Runs of
+* A bucket comes in the order of its keys and settles some whole keys at a time: it
+  sorts their edges by fingerprint and place; the first is the source. Runs of
   repeated edges whose sources run along with them (paths without a branch) are
   compacted to one span with the coordinates of its source.
 * The source's coordinates verify every span: the words of both places are fetched and
@@ -44,6 +45,8 @@ MINIMIZER = 6
 #: Words of a chunk, and bytes of text a bucket stands for.
 CHUNK_WORDS = 400_000
 BUCKET_BYTES = 16 << 20
+#: Edges of whole keys that are settled at a time.
+SETTLE_EDGES = 250_000
 #: Edges under one smallest hash from which on they are dealt one by one, and the share
 #: of documents, one in so many, that they are counted on. Neither changes the result.
 HEAVY_EDGES = 1_000_000
@@ -214,6 +217,28 @@ def bucket_spans(rows: pa.Table) -> pa.RecordBatch:
     )
 
 
+def settled_keys(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Spans of paths that come in the order of their keys, some whole keys at a time."""
+    limit = most = SETTLE_EDGES if most is None else most
+    held, edges = [], 0
+    for batch in batches:
+        held.append(batch)
+        edges += pa.compute.sum(batch.column(3)).as_py() or 0
+        if edges < limit:
+            continue
+        table = pa.Table.from_batches(held)
+        keys = table.column(0).to_numpy()
+        whole = int(np.searchsorted(keys, keys[-1]))  # the last key may go on
+        if whole:
+            yield bucket_spans(table.slice(0, whole))
+            held = table.slice(whole).combine_chunks().to_batches()
+            edges, limit = sum(pa.compute.sum(b.column(3)).as_py() or 0 for b in held), most
+        else:
+            limit = 2 * edges
+    if held:
+        yield bucket_spans(pa.Table.from_batches(held))
+
+
 def repeated_spans(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, minimizer: int = MINIMIZER
 ) -> DataFrame:
@@ -228,14 +253,10 @@ def repeated_spans(
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = 1 + size // BUCKET_BYTES
 
-    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        if held:
-            yield bucket_spans(pa.Table.from_batches(held))
-
     # a word takes two bytes at least
     heavy = _heavy_keys(source, window, minimizer) if size > 2 * HEAVY_EDGES else None
-    spans = _paths(source, window, minimizer, heavy).repartition(buckets, "key").mapInArrow(settle, _SPANS)
+    spans = _paths(source, window, minimizer, heavy).repartition(buckets, "key")
+    spans = spans.sortWithinPartitions("key").mapInArrow(settled_keys, _SPANS)
     texts = source.withColumn("doc_id", F.coalesce("doc_id", F.lit(int(_LAST))))
     return _verified(stage(spans, "repeat-spans"), texts, window)
 
