@@ -27,7 +27,7 @@ WINDOW = 10
 #: Bytes of windows, of which each word is in up to ``WINDOW``, that one automaton is
 #: built from and so the most nodes it has; a larger benchmark is scanned in several
 #: passes, each with its own automaton and its hits staged before the next.
-AUTOMATON_BYTES = 8 << 20
+AUTOMATON_BYTES = 1 << 20
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
