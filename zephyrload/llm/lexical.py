@@ -8,9 +8,9 @@ documents can score for a query; a task visits its strata from the highest bound
 out those that cannot reach the query's k-th best score so far.
 
 Queries are dealt with in blocks of bounded vocabulary, each a pass over the documents:
-term counts of every document for the block's terms, dealt by ranges of m so that a
-stratum's documents lie together, with a hash behind m so that a stratum, however large, is
-cut into as many parts as it needs. Each task returns its best k per query, and a window
+term counts of every document for the block's terms, dealt by ranges of m that hold about
+as many postings each, so that a stratum's documents lie together; a stratum that fills several ranges is
+dealt to them by a hash. Each task returns its best k per query, and a window
 takes the best of those.
 
 Terms are runs of ASCII letters and digits and of anything beyond ASCII; A-Z are lower-cased.
@@ -31,7 +31,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +44,8 @@ BLOCK_BYTES = 4 << 20
 #: Postings a scoring task gets on average, and holds at a time at most (but for one stratum's document).
 TASK_POSTINGS = 2_000_000
 HELD_POSTINGS = 1_000_000
+#: Ranges of m that the strata are cut into at most; beyond, a range is dealt by hash.
+MOST_RANGES = 1024
 # Fixed values of the score.
 _B, _K, _ONE, _THOUSAND = 25, 12, 1_000_000_000, 1000
 
@@ -265,15 +267,29 @@ def best_documents(
     return ranked.select("item_id", "rank", "doc_id", "score")
 
 
+def _longs(values: list[int]) -> Column:
+    return F.array(*[F.lit(v).cast("long") for v in values]) if values else F.expr("array()").cast("array<long>")
+
+
 def _block_best(counts, totals, wanted, schema, k, task_postings, held_postings) -> DataFrame:
     """Each task's best documents for the queries of a block."""
     m = F.lit(100 - _B) + F.expr(f"({_B} * n * {totals.N}L) div {totals.L}L")
+    rows = counts.where(F.col("n_postings") > 0).select(
+        F.col("doc_id").cast("long").alias("doc_id"), m.cast("long").alias("m"), "terms", "tf", "n_postings"
+    )
     parts = max(1, -(-int(totals.p) // task_postings))
+    ranges = min(4 * parts, MOST_RANGES)
+    share = F.array(*[F.lit((i + 1) / ranges) for i in range(ranges - 1)])
+    cuts = rows.agg(F.percentile("m", share, F.col("n_postings"))).first()[0] if ranges > 1 else []
+    cuts = [math.floor(c) for c in cuts or []]
+    # a stratum that several cuts fall into is dealt to all the ranges between them
+    edges = _longs(cuts)
+    low, high = (F.size(F.filter(edges, below)) for below in (lambda c: c < F.col("m"), lambda c: c <= F.col("m")))
+    hash_ = F.xxhash64("doc_id", "terms")
+    more = -(-4 * parts // ranges)
     dealt = (
-        counts.where(F.col("n_postings") > 0)
-        .select(F.col("doc_id").cast("long").alias("doc_id"), m.cast("long").alias("m"), "terms", "tf")
-        .withColumn("deal", F.xxhash64("doc_id", "terms"))
-        .repartitionByRange(parts, "m", "deal")
+        rows.withColumn("range", low + F.pmod(hash_, high - low + 1))
+        .repartition(parts, "range", F.pmod(F.xxhash64(hash_), F.lit(more)))
         .sortWithinPartitions("m")
         .select("doc_id", "m", "terms", "tf")
     )
