@@ -9,8 +9,8 @@ the smallest upper bound are out, and only vectors with several left compare exa
 integer distances. Bounds are widened by more than doubles can be off, so no result
 depends on them.
 
-Vectors never leave their partitions: a round sends k centroids out and gets k sums back,
-added up in a tree of grouped sums. Pivots are vectors of the data, k and their number are
+Vectors never leave their partitions: a round sends k centroids out and gets k sums back, of which
+each task makes one before they are added up by entry. Pivots are vectors of the data, k and their number are
 parameters, so nothing that is sent or collected grows with the data, and a cluster that
 holds most vectors is one sum per task like any other.
 
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zephyrload.llm.common import stage, vector_sum
+from zephyrload.llm.common import stage
 
 CLUSTERS = 8
 ROUNDS = 10
@@ -167,8 +167,6 @@ def _sums(rows: DataFrame, simplex: Simplex, centroids: np.ndarray) -> np.ndarra
     n = len(simplex.pivots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         total = np.zeros((k, width + 1), np.int64)
         for batch in batches:
             if not batch.num_rows:
@@ -179,11 +177,17 @@ def _sums(rows: DataFrame, simplex: Simplex, centroids: np.ndarray) -> np.ndarra
                 mine = v[chosen == j]
                 total[j, :width] += mine.sum(axis=0)
                 total[j, width] += len(mine)
-        part = pa.array([TaskContext.get().partitionId()], pa.int32())
-        yield pa.RecordBatch.from_arrays([part, pa.array([total.tobytes()], pa.binary())], names=["part", "vector"])
-
-    parts = rows.select("v", "d").mapInArrow(run, "part int, vector binary")
-    return vector_sum(parts, k * (width + 1)).reshape(k, width + 1)
+        held = np.flatnonzero(total[:, width])
+        sums = pa.array(total[held].tolist(), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), sums], names=["cluster", "sums"])
+
+    parts = rows.select("v", "d").mapInArrow(run, "cluster int, sums array<long>")
+    entries = parts.select("cluster", F.posexplode("sums").alias("entry", "value"))
+    found = entries.groupBy("cluster", "entry").agg(F.sum("value").alias("value"))
+    total = np.zeros((k, width + 1), np.int64)
+    for row in found.collect():  # k * (width + 1) rows at most
+        total[row.cluster, row.entry] = row.value
+    return total
 
 
 def clusters(
