@@ -1,6 +1,7 @@
 """Learned operators: accuracy on held-out rows, planted cases and odd texts."""
 
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -34,7 +35,7 @@ def test_language(spark):
     assert all(found[k].lang_pred == "und" and found[k].score == 0 for k in (900, 901, 902))
     assert found[903].lang_pred == "de" and 0 <= found[903].score <= 1
     nothing = langid.train(docs.limit(0))
-    assert {r.lang_pred for r in langid.identify(docs, nothing).collect()} == {"und"}
+    assert {r.lang_pred for r in langid.identify(docs, nothing, keep=["doc_id"]).collect()} == {"und"}
 
 
 def test_held_out_language_is_not_learned(spark):
@@ -69,7 +70,7 @@ def test_toxicity(spark, make_docs, odd_docs):
     assert len(found) == docs.count() and all(0 <= r.score <= 1 for r in found)
     tested = [r for r in found if r.doc_id is not None and r.doc_id >= 100 and is_held_out(r.doc_id)]
     assert np.mean([r.predicted == int(r.doc_id >= 500) for r in tested]) > 0.97
-    assert {r.score for r in toxicity.score(docs, toxicity.train(docs, labels.limit(0))).select("score").collect()} == {0.0}
+    assert {r.score for r in toxicity.score(docs, toxicity.train(docs, labels.limit(0)), keep=["doc_id"]).select("score").collect()} == {0.0}
 
 
 @pytest.fixture(scope="module")
@@ -137,3 +138,50 @@ def test_main_text_in_wrappers():
             assert html_text.main_text(opened + plain, learned) == f"{body} {last}"
         assert html_text.main_text(f"<article><div class='has-sidebar'>{plain}</div></article>", learned) == f"{body} {last}"
         assert html_text.main_text(late, learned) == body
+
+
+FRAMES = (
+    "<form>{}</form>",
+    "<div class='content has-sidebar'>{}</div>",
+    "<div id='widget-page'>{}</div>",
+    "<form><div class='with-menu'>{}</div></form>",
+)
+
+
+@pytest.mark.parametrize("others", [0, 30, 2000])
+@pytest.mark.parametrize("frame", FRAMES)
+def test_frames_keep_their_text_beside_any_other(frame, others):
+    body = f"<p>{sentence(1, 200)}</p>"
+    beside = f"<p>{sentence(2, others)}</p>" if others else ""
+    fields = "<p>Write to us</p><input name='a'><textarea></textarea><button>Send</button>"
+    page = f"<body><div class='sidebar'><p>aside</p></div>{frame.format(body)}{beside}<form>{fields}</form></body>"
+    assert html_text.main_text(page, {}) == f"{sentence(1, 200)} {sentence(2, others)}".strip()
+
+
+def test_names_seen_beside_the_main_part_are_no_wrappers():
+    labelled = "<body><article><p>{0}</p></article><div class='comments'><p>{0}</p></div></body>"
+    learned = html_text.learn(sum((html_text.count_places(labelled.format(sentence(k, 30))) for k in range(40)), Counter()))
+    page = f"<body><p>{sentence(1, 40)}</p><div class='comments'><p>{sentence(2, 400)}</p></div></body>"
+    assert html_text.main_text(page, learned) == sentence(1, 40)
+    # a mark that no labelled page shows: the larger part is the text
+    unknown = page.replace("comments", "promo")
+    assert html_text.main_text(unknown, learned) == f"{sentence(1, 40)} {sentence(2, 400)}"
+
+
+@pytest.mark.parametrize("opened", ["<div>a ", "<form><div>a ", "<nav>a ", "<article>a ", "<form><article>a ", "<b>a</i>"])
+def test_deep_markup_is_linear(opened):
+    begun = time.process_time()
+    html_text.main_text(opened * 8000, {})
+    assert time.process_time() - begun < 2
+
+
+def test_best_region_is_that_of_all_regions():
+    rng = random.Random(5)
+    for _ in range(300):
+        scores = [rng.choice([-3.0, -1.0, 0.0, 1.0, 2.0]) for _ in range(rng.randint(0, 12))]
+        nodes = [rng.randint(0, 2) for _ in scores]
+        out = [False, True, rng.random() < 0.5]
+        counted = [0.0 if out[n] else s for s, n in zip(scores, nodes, strict=True)]
+        every = [sum(counted[a:b]) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)]
+        best, span = html_text._best(scores, out, nodes)
+        assert best == max([0.0, *every]) == sum(counted[span])
