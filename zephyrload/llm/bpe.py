@@ -34,10 +34,9 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zephyrload.llm.common import as_bytes, bound_batches, per_process
+from zephyrload.llm.common import added_name, bound_batches, per_process, quoted
 
 #: What a worker process remembers of chunks, in bytes; of fragments it remembers a third of that.
 MEMORY_BYTES = 192 << 20
@@ -432,18 +431,6 @@ def _check(spec: dict, path: str) -> None:
         raise ValueError(f"{path} is no byte-level BPE file of the kind encoded here: {', '.join(odd)}")
 
 
-def added_name(df: DataFrame, keep: list[str], base: str) -> str:
-    """``base``, or the same with underscores where a kept column has the name."""
-    taken = {c.lower() for c in keep}
-    while base.lower() in taken:
-        base += "_"
-    return base
-
-
-def _quoted(name: str):
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def encode(df: DataFrame, tokenizer_path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Columns ``keep`` (all by default) and ``ids``: little-endian unsigned 32-bit ids as binary."""
     return _map_values(df, text, keep, "ids", T.BinaryType(), tokenizer_path, lambda bpe, texts: bpe.encode(texts))
@@ -457,9 +444,9 @@ def decode(df: DataFrame, tokenizer_path: str, ids: str = "ids", keep: list[str]
 def _map_values(df, column, keep, made, kind, path, compute) -> DataFrame:
     keep = list(df.columns) if keep is None else keep
     bound_batches(df.sparkSession)
-    name = added_name(df, keep, made)
+    name = added_name(keep, made)
     # placeholder names inside the pass: column names may clash or hold dots
-    source = df.select(*[_quoted(c).alias(f"c{i}") for i, c in enumerate(keep)], _quoted(column).cast("binary").alias("value"))
+    source = df.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(keep)], quoted(column).cast("binary").alias("value"))
     schema = T.StructType([*(T.StructField(f"c{i}", df.schema[c].dataType) for i, c in enumerate(keep)), T.StructField("made", kind)])
     arrow = pa.binary() if isinstance(kind, T.BinaryType) else pa.string()
 

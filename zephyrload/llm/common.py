@@ -53,6 +53,29 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def added_name(keep: list[str], base: str) -> str:
+    """``base``, or the same with underscores where a kept column has the name, whatever its letter case."""
+    taken = {c.lower() for c in keep}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
+def quoted(name: str) -> Column:
+    """A column by its plain name, which may hold dots or backticks."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def placeholders(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The same rows under names that no operator uses, and which name stands for which.
+
+    Operators that add columns of their own along the way work on these and give
+    the names back at the end with ``toDF``.
+    """
+    stands = {c: f"held_{k}_column" for k, c in enumerate(df.columns)}
+    return df.toDF(*stands.values()), stands
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Keep Arrow batches small in rows and bytes, for long texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
@@ -73,12 +96,13 @@ def map_texts(
     """Columns ``keep`` as they are, then what ``factory()`` computes from the texts.
 
     ``factory`` is called once a task; what it returns gets the texts of a batch
-    and gives one list or Arrow array per field.
+    and gives one list or Arrow array per field. A field whose name is kept already gets underscores.
     """
     bound_batches(df.sparkSession)
-    hidden = free_name(df, "text_bytes")
-    source = df.select(*[F.col(f"`{c}`") for c in keep], as_bytes(f"`{text}`").alias(hidden))
-    schema = T.StructType([*(df.schema[c] for c in keep), *fields])
+    # placeholder names inside the pass: column names may clash or hold dots
+    held = [quoted(c).alias(f"kept_{k}") for k, c in enumerate(keep)]
+    source = df.select(*held, quoted(text).cast("binary").alias("text_bytes"))
+    schema = T.StructType([*(T.StructField(f"kept_{k}", df.schema[c].dataType) for k, c in enumerate(keep)), *fields])
     kinds = [_arrow(f.dataType) for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,7 +116,10 @@ def map_texts(
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*kept, *arrays], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    names = list(keep)
+    for field in fields:
+        names.append(added_name(names, field.name))
+    return source.mapInArrow(run, schema).toDF(*names)
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:

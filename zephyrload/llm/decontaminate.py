@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zephyrload.llm.common import free_name, map_texts, plain_words, stage
+from zephyrload.llm.common import free_name, map_texts, placeholders, plain_words, quoted, stage
 
 WINDOW = 10
 #: Bytes of windows, of which each word is in up to ``WINDOW``, that one automaton is
@@ -159,7 +159,7 @@ def benchmark_hits(
         more = map_texts(first, text, [row], fields, factory).where(F.size(f"{found}.word_spans") > 0)
         later.append(stage(more, "hits"))
     if not later:
-        return first.select(*[F.col(f"`{c}`") for c in keep], found)
+        return first.select(*[quoted(c) for c in keep], found)
     every, of = free_name(docs, "every"), free_name(docs, "of_row")
     more = reduce(DataFrame.union, later).groupBy(F.col(row).alias(of)).agg(F.collect_list(found).alias(every))
     joined = first.join(more, F.col(row) == F.col(of), "left")
@@ -170,7 +170,7 @@ def benchmark_hits(
         *(_union(F.transform(parts, _member(c))).alias(c) for c in ("word_spans", "char_spans")),
         F.array_sort(F.array_distinct(F.flatten(F.transform(parts, _member("items"))))).alias("items"),
     )
-    return joined.select(*[F.col(f"`{c}`") for c in keep], merged.alias(found))
+    return joined.select(*[quoted(c) for c in keep], merged.alias(found))
 
 
 def _member(name: str):
@@ -199,7 +199,6 @@ def digest(item_ids: str | F.Column) -> F.Column:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents, with all their columns, in which no window occurs."""
-    hits = free_name(docs, "hits")
-    found = benchmark_hits(docs, benchmark, text=text)
-    return found.where(F.size(F.col(f"{hits}.word_spans")) == 0).drop(hits)
-
+    plain, stands = placeholders(docs)
+    found = benchmark_hits(plain, benchmark, text=stands[text])
+    return found.where(F.size("hits.word_spans") == 0).drop("hits").toDF(*docs.columns)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zephyrload.llm.common import WordHashes, as_bytes, bound_batches, free_name, map_texts, mix, per_process, stage
+from zephyrload.llm.common import WordHashes, bound_batches, map_texts, mix, per_process, placeholders, quoted, stage
 
 ROWS = 6
 BANDS = 40
@@ -260,7 +260,7 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, n_shingles, class_id, component_id, kept of every row."""
     bound_batches(docs.sparkSession)
-    source = docs.select(F.col(doc_id).cast("long").alias("id"), as_bytes(text).alias("text"))
+    source = docs.select(quoted(doc_id).cast("long").alias("id"), quoted(text).cast("binary").alias("text"))
     signed = stage(sketches(source, "text", ["id"], rows, bands), "near-sketches")
     real = signed.where(F.col("id").isNotNull() & (F.col("n_shingles") > 0))
     equal = ["n_shingles", "set_hi", "set_lo"]
@@ -312,6 +312,7 @@ def near_duplicates(
 
 def distinct_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The documents, with all their columns, of which each group keeps its smallest id."""
+    plain, stands = placeholders(docs)
     found = near_duplicates(docs, text, doc_id)
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone_")).distinct()
-    return docs.join(gone, F.col(doc_id) == F.col("gone_"), "left_anti").select(*docs.columns)
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
+    return plain.join(gone, F.col(stands[doc_id]) == F.col("gone"), "left_anti").toDF(*docs.columns)

@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zephyrload.llm.bpe import ByteBpe, added_name
-from zephyrload.llm.common import as_bytes, bound_batches, per_process, stage
+from zephyrload.llm.bpe import ByteBpe
+from zephyrload.llm.common import added_name, bound_batches, per_process, quoted, stage
 
 CAPACITY = 1024
 END_TOKEN = 2
@@ -53,9 +53,8 @@ def token_pieces(
     """
     keep = ["doc_id"] if keep is None else keep
     bound_batches(docs.sparkSession)
-    quoted = ["`" + c.replace("`", "``") + "`" for c in keep]
     # placeholder names inside the pass: column names may clash or hold dots
-    source = docs.select(*[F.col(q).alias(f"c{i}") for i, q in enumerate(quoted)], as_bytes(f"`{text}`").alias("value"))
+    source = docs.select(*[quoted(c).alias(f"c{i}") for i, c in enumerate(keep)], quoted(text).cast("binary").alias("value"))
     fields = [T.StructField("piece", T.IntegerType()), *(T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32"))]
     if with_ids:
         fields.append(T.StructField("ids", T.BinaryType()))
@@ -90,7 +89,7 @@ def token_pieces(
 
     names = list(keep)
     for f in fields:
-        names.append(added_name(docs, names, f.name))
+        names.append(added_name(names, f.name))
     return source.mapInArrow(run, schema).toDF(*names)
 
 
@@ -212,5 +211,5 @@ def pack_documents(
     plan_pieces: int = PLAN_PIECES,
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    texts = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).alias("text"))
     return pack(token_pieces(texts, tokenizer_path, capacity=capacity), capacity, plan_pieces)

@@ -38,7 +38,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zephyrload.llm.common import WordHashes, as_bytes, bound_batches, flatten, free_name, mix, per_process, stage
+from zephyrload.llm.common import (
+    WordHashes,
+    added_name,
+    as_bytes,
+    bound_batches,
+    flatten,
+    mix,
+    per_process,
+    placeholders,
+    stage,
+)
 
 WINDOW = 20
 MINIMIZER = 6
@@ -325,20 +335,19 @@ def without_repeats(
 
     ``kept_text`` is NULL where nothing is removed.
     """
-    keep = docs.columns if keep is None else keep
+    names = list(docs.columns if keep is None else keep)
+    docs, stands = placeholders(docs)
+    keep, text, doc_id = [stands[c] for c in names], stands[text], stands[doc_id]
     spans = repeated_spans(docs, text, doc_id, window)
-    listed = spans.groupBy(F.col("doc_id").alias("of_")).agg(
-        F.collect_list(F.struct("start", "n")).alias("spans_")
-    )
+    listed = spans.groupBy(F.col("doc_id").alias("of_doc")).agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     id_ = F.coalesce(F.col(doc_id).cast("long"), F.lit(int(_LAST)))
-    joined = docs.join(listed, id_ == F.col("of_"), "left")
-    name, hidden = free_name(docs, "repeats"), free_name(docs, "text_bytes")
+    joined = docs.join(listed, id_ == F.col("of_doc"), "left")
     kept_fields = [docs.schema[c] for c in keep]
     made = T.StructType(
         [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
     )
-    schema = T.StructType([*kept_fields, T.StructField(name, made)])
-    source = joined.select(*[F.col(f"`{c}`") for c in keep], as_bytes(f"`{text}`").alias(hidden), "spans_")
+    schema = T.StructType([*kept_fields, T.StructField("repeats", made)])
+    source = joined.select(*[F.col(c).alias(f"kept_{k}") for k, c in enumerate(keep)], as_bytes(text).alias("text_bytes"), "spans")
     kind = pa.struct([("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -359,7 +368,7 @@ def without_repeats(
                 [*(batch.column(k) for k in range(len(keep))), pa.array(out, kind)], names=schema.names
             )
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, schema).toDF(*names, added_name(names, "repeats"))
 
 
 def _outside(words: list[bytes], spans: list[dict], window: int) -> list[bytes]:
@@ -380,11 +389,11 @@ def kept_text(text: str, repeats: str):
 
 def documents_without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n_chars: str = "n_chars") -> DataFrame:
     """The documents with all their columns, texts cut; untouched texts stay as they are."""
-    name = free_name(docs, "repeats")
-    found = without_repeats(docs, text, doc_id)
-    cut = F.col(f"{name}.kept_text")
-    new = {text: F.coalesce(cut, F.col(f"`{text}`"))}
+    plain, stands = placeholders(docs)
+    found = without_repeats(plain, stands[text], stands[doc_id])
+    cut = F.col("repeats.kept_text")
+    new = {stands[text]: F.coalesce(cut, F.col(stands[text]))}
     if n_chars in docs.columns:
         kind = docs.schema[n_chars].dataType
-        new[n_chars] = F.when(cut.isNotNull(), F.length(cut).cast(kind)).otherwise(F.col(f"`{n_chars}`"))
-    return found.withColumns(new).drop(name)
+        new[stands[n_chars]] = F.when(cut.isNotNull(), F.length(cut).cast(kind)).otherwise(F.col(stands[n_chars]))
+    return found.withColumns(new).drop("repeats").toDF(*docs.columns)

@@ -19,10 +19,9 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zephyrload.llm.common import flatten, map_texts
+from zephyrload.llm.common import added_name, flatten, map_texts, quoted
 
 #: A repeat counts from this many words on.
 MIN_REPEAT = 10
@@ -156,7 +155,7 @@ def repetition(
     docs: DataFrame, text: str = "text", keep: list[str] | None = None, min_repeat: int = MIN_REPEAT
 ) -> DataFrame:
     """Columns ``keep`` and the measures of every whole text; spans are word numbers."""
-    keep = [c for c in docs.columns if c not in {f.name for f in FIELDS}] if keep is None else keep
+    keep = docs.columns if keep is None else keep
 
     def factory():
         def compute(texts: list[bytes | None]) -> list[pa.Array]:
@@ -179,9 +178,14 @@ def repetition(
 def verdicts(
     measures: DataFrame, max_covered_percent: int = MAX_COVERED_PERCENT, max_repeat: int = MAX_REPEAT
 ) -> DataFrame:
-    """Add base_failed and kept."""
-    base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    repeats = (100 * F.col("n_covered_words") > max_covered_percent * F.col("n_words")) | (
-        F.col("longest_repeat") > max_repeat
+    """Add base_failed and kept to rows whose last columns are those of ``repetition``."""
+    kept = measures.columns[: -len(FIELDS)]
+    # the measures, whatever names they got beside the kept columns
+    held = dict(zip((f.name for f in FIELDS), measures.columns[-len(FIELDS) :], strict=True))
+    n_words, n_repeat, n_covered, longest = (
+        quoted(held[n]) for n in ("n_words", "n_repeat_words", "n_covered_words", "longest_repeat")
     )
-    return measures.withColumns({"base_failed": base, "kept": ~base & ~repeats})
+    base = (n_words < 50) | (100 * n_repeat > 50 * n_words)
+    repeats = (100 * n_covered > max_covered_percent * n_words) | (longest > max_repeat)
+    failed, passed = added_name(kept, "base_failed"), added_name(kept, "kept")
+    return measures.withColumns({failed: base, passed: ~base & ~repeats})

@@ -29,7 +29,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from zephyrload.llm.common import as_bytes, bound_batches, bounded_sample, free_name, held_out, map_texts, stage
+from zephyrload.llm.common import (
+    added_name,
+    as_bytes,
+    bound_batches,
+    bounded_sample,
+    free_name,
+    held_out,
+    map_texts,
+    placeholders,
+    stage,
+)
 
 MOST_PER_LABEL = 4000
 THRESHOLD = 0.5
@@ -204,8 +214,11 @@ def judge(
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """Columns ``keep``, then one struct column ``verdict``: p, host_posterior, path_posterior, score, kept."""
-    keep = docs.columns if keep is None else keep
+    names = list(docs.columns if keep is None else keep)
     model = train(docs, labels, text, doc_id)
+    docs, stands = placeholders(docs)
+    keep, text, host = [stands[c] for c in names], stands[text], stands[host]
+    path = [F.col(stands[c]).alias(c) for c in path]
     host_, path_, p_ = (free_name(docs, n) for n in ("host", "path", "p"))
     named = docs.withColumns({host_: F.col(host), path_: F.to_json(F.struct(*path))})
     # one pass over the texts: sites sum up what is staged
@@ -228,10 +241,10 @@ def judge(
             score.alias("score"),
             (score >= threshold).alias("kept"),
         ).alias(verdict),
-    )
+    ).toDF(*names, added_name(names, verdict))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, **names) -> DataFrame:
     """The documents that are kept, with all their columns."""
-    verdict = free_name(docs, "verdict")
+    verdict = added_name(docs.columns, "verdict")
     return judge(docs, labels, **names).where(F.col(f"{verdict}.kept")).drop(verdict)
