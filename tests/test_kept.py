@@ -1,5 +1,6 @@
 """State that loads keep: the ledger, shared hours, newest moments, compacted days, one-step days."""
 
+import random
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -9,7 +10,7 @@ from tests.conftest import rows
 from tests.test_records import envelope, response, responses
 from tests.test_refresh_days import FEEDS
 from zephyrload import schemas
-from zephyrload.operators import steps
+from zephyrload.operators import gaps, lookups, quality, steps
 from zephyrload.plans import gold, loads, refresh
 from zephyrload.session import fresh_path
 from zephyrload.sources import ledger, tables
@@ -52,7 +53,7 @@ def weather(spark, hours):
 def shown(spark):
     stamps = [f"{layer}_processed_timestamp" for layer in ("bronze", "silver", "gold")]
     names = [c.name for c in [schemas.FACT_DEMAND, schemas.FACT_OPERATIONS, schemas.GOLD_DAILY_BY_ZONE, schemas.GOLD_NYC_DAILY, schemas.GOLD_NYC_BANDS]]
-    return {n: rows(tables.stored(spark, n).drop(*stamps)) for n in [*names, refresh.DEMAND_HOURS, refresh.ZONE_HOURS]}
+    return {n: rows(tables.stored(spark, n).drop(*stamps)) for n in [*names, refresh.DEMAND_HOURS, refresh.ZONE_HOURS, refresh.DEMAND_PRESENT]}
 
 
 def files(spark, name, day):
@@ -235,3 +236,65 @@ def test_compacted_log_equals_the_whole_log(spark, layers):
     same()
     incremental.compact(spark, f"{root}/log", "landing.current", KEYS)
     same()
+
+
+SPAN = ("2024-01-02T05", "2024-01-06T03")
+
+
+@pytest.mark.parametrize("span", [SPAN, ("2024-01-03T00", "2024-01-03T00"), ("2023-12-30T00", "2023-12-31T05"), ("2024-02-01T00", "2024-02-01T02")])
+def test_gaps_of_kept_hours_are_those_of_the_records(spark, span):
+    r = random.Random(7)
+    hours = [f"2024-01-{d:02d}T{h:02d}" for d in (1, 2, 3, 5, 6) for h in range(24)]
+    records = [(s, h) for s in ("a", "b", "c") for h in r.choices(hours, k={"a": 200, "b": 30, "c": 1}[s])]
+    records += [("whole", h) for h in hours] + [(None, hours[0]), ("d", None)]
+    facts = spark.createDataFrame(records, "s string, k string")
+    want = rows(gaps.missing_hours(facts, ["s"], "k", *span))
+    present = gaps.present_hours(facts, ["s"], "k")
+    assert rows(gaps.missing_from_present(present, ["s"], "k", *span)) == want
+    early = F.col("k") < "2024-01-03T11"
+    parts = [gaps.present_hours(f, ["s"], "k") for f in (facts.filter(early), facts.filter(~early), facts.sample(0.3, seed=1))]
+    merged = gaps.merged_present(parts, ["s"])
+    assert rows(gaps.missing_from_present(merged, ["s"], "k", *span)) == want
+    assert gaps.missing_from_present(present.limit(0), ["s"], "k", *span).count() == 0
+
+
+def test_kept_hours_follow_withdrawn_records(spark, layers):
+    arrive(spark, {("2024-07-01T00", 0): [(f"2024-07-01T{h:02d}", 10) for h in range(24)], ("2024-07-02T00", 0): [("2024-07-02T03", 5)]})
+    weather(spark, ["2024-07-01T00"])
+    refresh.refresh_pending(spark)
+    span = ("2024-07-01T00", "2024-07-02T04")
+    assert [r.period_timestamp for r in refresh.demand_gaps(spark, *span).orderBy("period_timestamp").collect()] == [
+        "2024-07-02T00", "2024-07-02T01", "2024-07-02T02", "2024-07-02T04",
+    ]
+    arrive(spark, {("2024-07-01T00", 0): [(f"2024-07-01T{h:02d}", 10) for h in range(22)]})
+    refresh.refresh_pending(spark)
+    facts = tables.stored(spark, schemas.FACT_DEMAND.name)
+    want = rows(gaps.missing_hours(facts, ["sub_ba_code"], "period_timestamp", *span))
+    assert len(want) == 6 and rows(refresh.demand_gaps(spark, *span)) == want
+
+
+def test_sketches_of_days_are_the_sketch_of_the_whole(spark):
+    df = spark.range(60_000).select((F.col("id") % 20_000).alias("v"), (F.col("id") % 30).alias("day"), F.lit(None).cast("int").alias("none"))
+    days = lookups.distinct_sketches(df, ["v", "none"], ["day"])
+    united = lookups.united_counts(days, ["v", "none"]).first()
+    whole = lookups.united_counts(lookups.distinct_sketches(df, ["v", "none"], []), ["v", "none"]).first()
+    assert united == whole and united.distinct_none == 0
+    assert abs(united.distinct_v / 20_000 - 1) < 4 * 1.04 / 2**7
+    some = lookups.united_counts(days.filter("day < 10"), ["v"]).first().distinct_v
+    exact = df.filter("day < 10").select("v").distinct().count()
+    assert abs(some / exact - 1) < 4 * 1.04 / 2**7
+
+
+@pytest.mark.parametrize("by", [(), ("day",)])
+def test_violations_are_counted_while_publishing(spark, layers, by):
+    df = spark.createDataFrame([(k, k if k % 3 else None, date(2024, 1, 1 + k % 2)) for k in range(20)], "id int, v int, day date")
+    rules = {"known": "v IS NOT NULL", "small": "v < 15"}
+    kept = quality.publish_expected(df, "silver.checked", rules, "Checked", by)
+    assert rows(kept) == rows(quality.expect(df, rules))
+    assert quality.kept_violations(spark, "silver.checked") == quality.violations(df, rules).first().asDict()
+    quality.publish_expected(df.limit(0), "silver.checked", rules, "Checked", by)
+    assert set(quality.kept_violations(spark, "silver.checked").values()) == {0}
+
+
+def test_key_audit_of_no_tables(spark):
+    assert quality.contract_key_audit([]).count() == 0

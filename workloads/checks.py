@@ -11,14 +11,14 @@ from zephyrload import schemas
 from zephyrload.operators import quality
 from zephyrload.plans import silver
 
-_RULES = {
+RULES = {
     "valid_type": "kind IS NOT NULL",
     "valid_value": "value IS NOT NULL",
     "valid_user": "user_id >= 0",
 }
 
 
-def _holed_events(spark, sf):
+def holed_events(spark, sf):
     """Events whose error types and round values are missing."""
     return table(spark, sf, "events").select(
         "event_id", "user_id",
@@ -28,11 +28,11 @@ def _holed_events(spark, sf):
 
 
 def f3_expect(spark, sf):
-    return quality.expect(_holed_events(spark, sf), _RULES)
+    return quality.expect(holed_events(spark, sf), RULES)
 
 
 def q1_violations(spark, sf):
-    return quality.violations(_holed_events(spark, sf), _RULES)
+    return quality.violations(holed_events(spark, sf), RULES)
 
 
 def q2_key_audit(spark, sf):

@@ -398,17 +398,17 @@ def u2_concat(spark, sf):
 # --- hours -------------------------------------------------------------------
 
 
-def _span(spark, sf):
+def hour_span(spark, sf):
     ends = table(spark, sf, "events").agg(hour_key(F.min("ts")).alias("a"), hour_key(F.max("ts")).alias("b")).first()
     return ends.a, ends.b
 
 
 def t_spine(spark, sf):
-    return hour_spine(spark, *_span(spark, sf))
+    return hour_spine(spark, *hour_span(spark, sf))
 
 
 def t_gap_hours(spark, sf):
-    return gaps.missing_hours(feeds.operations_bronze(spark, sf), ["type_code", "ba_code"], "period", *_span(spark, sf))
+    return gaps.missing_hours(feeds.operations_bronze(spark, sf), ["type_code", "ba_code"], "period", *hour_span(spark, sf))
 
 
 def t_dst_days(spark, sf):

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from zephyrload.schemas import Contract
+from zephyrload.sources.tables import property_of, publish
+
+#: The property of a published table that holds its violations.
+VIOLATIONS = "violations"
 
 
 def expect(df: DataFrame, rules: dict[str, str]) -> DataFrame:
@@ -19,10 +24,40 @@ def expect(df: DataFrame, rules: dict[str, str]) -> DataFrame:
 
 def violations(df: DataFrame, rules: dict[str, str]) -> DataFrame:
     """Q1: one row with the violations per rule, the rows dropped and all rows."""
+    return df.agg(*_counts(rules))
+
+
+def _counts(rules: dict[str, str]) -> list[Column]:
     broken = [~_holds(rule) for rule in rules.values()]
     counts = [F.count(F.when(b, 1)).alias(name) for name, b in zip(rules, broken)]
-    dropped = F.count(F.when(reduce(lambda a, b: a | b, broken), 1))
-    return df.agg(*counts, dropped.alias("dropped_rows"), F.count(F.lit(1)).alias("all_rows"))
+    dropped = F.count(F.when(reduce(lambda a, b: a | b, broken, F.lit(False)), 1))
+    return [*counts, dropped.alias("dropped_rows"), F.count(F.lit(1)).alias("all_rows")]
+
+
+def publish_expected(
+    df: DataFrame, name: str, rules: dict[str, str], comment: str = "", partition_by: tuple[str, ...] = ()
+) -> DataFrame:
+    """F3 with Q1: publish the rows that satisfy every rule, and the violations beside them.
+
+    The violations are counted by the job that writes, so the source is read once, and are shown in
+    the same step as the rows (``kept_violations``). A stage that runs again after a lost executor may count rows
+    twice; then the counts do not agree with the rows written, and are taken anew.
+    """
+    seen = Observation()
+    kept = expect(df.observe(seen, *_counts(rules)), rules)
+
+    def properties(written: DataFrame) -> dict[str, str]:
+        counts = dict(seen.get)
+        if counts["all_rows"] - counts["dropped_rows"] != written.count():
+            counts = violations(df, rules).first().asDict()
+        return {VIOLATIONS: json.dumps(counts)}
+
+    return publish(kept, name, comment, partition_by, properties)
+
+
+def kept_violations(spark: SparkSession, name: str) -> dict[str, int]:
+    """Q1 of a table as ``publish_expected`` counted it: by rule, dropped_rows and all_rows."""
+    return json.loads(property_of(spark, name, VIOLATIONS) or "{}")
 
 
 def _holds(rule: str):
@@ -53,6 +88,8 @@ def contract_key_audit(tables: list[tuple[Contract, DataFrame]]) -> DataFrame:
         for contract, df in tables
         if contract.key
     ]
+    if not audits:
+        return SparkSession.active().createDataFrame([], "table_name string, key_values string, row_count long")
     return reduce(DataFrame.unionByName, audits)
 
 
@@ -80,6 +117,8 @@ def contract_reference_audit(df: DataFrame, contract: Contract, tables: dict[str
                 "orphan_rows",
             )
         )
+    if not audits:
+        return df.sparkSession.createDataFrame([], "reference string, code string, orphan_rows long")
     return reduce(DataFrame.unionByName, audits)
 
 

@@ -12,7 +12,7 @@ ones for all others, and one change of the view shows all replaced days at once.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from datetime import date, timedelta
@@ -71,13 +71,14 @@ def publish(
     name: str,
     comment: str = "",
     partition_by: tuple[str, ...] = (),
-    properties: dict[str, str] | None = None,
+    properties: dict[str, str] | Callable[[DataFrame], dict[str, str]] | None = None,
 ) -> DataFrame:
     """Write the content of ``name`` anew, then let the view show it.
 
     The content shown before stays until the next refresh, for readers that
     have already planned on it. ``partition_by`` may name one column, a date.
-    ``properties`` are texts that change with the content, in the same step.
+    ``properties`` are texts that change with the content, in the same step; a function gets the rows
+    as written and is called before they are shown.
     """
     spark = df.sparkSession
     layer, short = full_name(name).split(".")
@@ -89,6 +90,8 @@ def publish(
     else:
         generation = _next(earlier, short)
         df.write.format("parquet").saveAsTable(f"{layer}.{generation}")
+    if callable(properties):
+        properties = properties(spark.table(f"{layer}.{generation}"))
     _repoint(spark, full_name(name), f"{layer}.{generation}", comment, properties)
     _drop(spark, layer, short, earlier[:-1])
     return spark.table(full_name(name))
