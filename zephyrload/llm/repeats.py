@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -233,7 +234,7 @@ def settled_keys(batches: Iterator[pa.RecordBatch], most: int | None = None) ->
     held, edges = [], 0
     for batch in batches:
         held.append(batch)
-        edges += pa.compute.sum(batch.column(3)).as_py() or 0
+        edges += pc.sum(batch.column(3)).as_py() or 0
         if edges < limit:
             continue
         table = pa.Table.from_batches(held)
@@ -242,7 +243,7 @@ def settled_keys(batches: Iterator[pa.RecordBatch], most: int | None = None) ->
         if whole:
             yield bucket_spans(table.slice(0, whole))
             held = table.slice(whole).combine_chunks().to_batches()
-            edges, limit = sum(pa.compute.sum(b.column(3)).as_py() or 0 for b in held), most
+            edges, limit = sum(pc.sum(b.column(3)).as_py() or 0 for b in held), most
         else:
             limit = 2 * edges
     if held:
