@@ -188,7 +188,7 @@ def bucket_spans(rows: pa.Table) -> pa.RecordBatch:
     """Repeated spans among the paths of whole buckets, with their sources (-1: settled before)."""
     key, doc, start, n = (rows.column(k).to_numpy() for k in range(4))
     edges = rows.column(4).combine_chunks()
-    settled = np.asarray(pa.compute.binary_length(edges)) == 0
+    settled = np.asarray(pc.binary_length(edges)) == 0
     out = [np.stack([doc[settled], start[settled], n[settled], np.full(settled.sum(), -1), np.full(settled.sum(), -1)])]
     key, doc, start, n = (x[~settled] for x in (key, doc, start, n))
     if len(key):
