@@ -198,6 +198,41 @@ def test_days_are_replaced_in_one_step(spark, layers):
     assert rows(tables.stored(spark, "silver.steps").select("utc_day", "v")) == [(days[0], 1), (days[1], 2)]
 
 
+def scanned(df):
+    """Rows that came out of the files of a collected frame that needs no shuffle."""
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(k).metrics().apply("numOutputRows").value() for k in range(leaves.size()))
+
+
+def test_one_zone_reads_few_rows_of_clustered_days(spark, layers):
+    """Pages without the zone asked for are skipped, also in days replaced later and in tables without days."""
+    n, first = 60_000, date(2026, 7, 1)
+    zone = F.expr("substring('ABCDEFGHIJK', cast(id % 11 as int) + 1, 1)")
+    day = F.date_add(F.lit(first), (F.col("id") / n).cast("int"))
+    facts = spark.range(2 * n).select(F.when(F.col("id") % 97 > 0, zone).alias("zone"), F.col("id").alias("hour"), day.alias("utc_day"))
+    by = ("zone", "hour")
+    tables.publish(facts, "silver.plain", "", ("utc_day",))
+    tables.publish(facts, "silver.clustered", "", ("utc_day",), cluster_by=by)
+    tables.publish(facts, "silver.flat", "", cluster_by=by)
+
+    def asked(name):
+        found = tables.stored(spark, name).filter("zone = 'J'").select("hour", "utc_day")
+        return rows(found), scanned(found)
+
+    expected, every = asked("silver.plain")
+    assert every == 2 * n and len(expected) > 10_000
+    found, read = asked("silver.clustered")
+    assert found == expected and read < n
+    found, read = asked("silver.flat")
+    assert found == expected and read < n
+    for _ in range(2):
+        later = facts.filter(F.col("utc_day") > F.lit(first))
+        tables.publish_days(later, "silver.clustered")
+        found, read = asked("silver.clustered")
+        assert found == expected and read < n
+    assert tables.stored(spark, "silver.clustered").filter("zone is null").count() == facts.filter("zone is null").count()
+
+
 def delivered(spark, root, pages):
     responses(spark, *pages).write.mode("append").json(f"{root}/arrivals")
     incremental.append_new_responses(spark, f"{root}/arrivals", f"{root}/log", f"{root}/checkpoint")

@@ -11,13 +11,14 @@ ones for all others, and one change of the view shows all replaced days at once.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +27,9 @@ from zephyrload.functions.timekeys import utc_day_of_key
 LAYERS = ("landing", "bronze", "silver", "gold")
 #: Days named in one statement when a generation's partitions are listed.
 _DAYS_A_STATEMENT = 400
+#: Rows that a page of a clustered file holds at most: readers skip whole pages.
+CLUSTER_PAGE_ROWS = 5_000
+_CLUSTERED = "clustered_by"
 _prefix: ContextVar[str] = ContextVar("layer_prefix", default="")
 
 
@@ -72,24 +76,27 @@ def publish(
     comment: str = "",
     partition_by: tuple[str, ...] = (),
     properties: dict[str, str] | Callable[[DataFrame], dict[str, str]] | None = None,
+    cluster_by: tuple[str, ...] = (),
 ) -> DataFrame:
     """Write the content of ``name`` anew, then let the view show it.
 
     The content shown before stays until the next refresh, for readers that
     have already planned on it. ``partition_by`` may name one column, a date.
     ``properties`` are texts that change with the content, in the same step; a function gets the rows
-    as written and is called before they are shown.
+    as written and is called before they are shown. ``cluster_by`` names columns that the rows of
+    every file are sorted by, inside a day: a filter on them skips the pages that hold no such
+    value. Days replaced later are sorted likewise.
     """
     spark = df.sparkSession
     layer, short = full_name(name).split(".")
     earlier = _generations(spark, layer, short)
+    generation = _next(earlier, short)
     if partition_by:
         (day,) = partition_by
-        generation = _next(earlier, short)
-        _show_days(spark, layer, short, generation, df, day, _write_days(df, layer, short, day))
+        written = _write_days(df, layer, short, day, cluster_by)
+        _show_days(spark, layer, short, generation, df, day, written, cluster_by)
     else:
-        generation = _next(earlier, short)
-        df.write.format("parquet").saveAsTable(f"{layer}.{generation}")
+        _clustered_writer(df, cluster_by).format("parquet").saveAsTable(f"{layer}.{generation}")
     if callable(properties):
         properties = properties(spark.table(f"{layer}.{generation}"))
     _repoint(spark, full_name(name), f"{layer}.{generation}", comment, properties)
@@ -117,10 +124,11 @@ def publish_days(
     current = spark.table(f"{layer}.{earlier[-1]}")
     gone = {_day_text(d) for d in days or ()} | {_day_text(d) for d in _span_days(span)}
     rows = df.select(*current.columns)
-    written = _write_days(rows, layer, short, day)
+    cluster_by = _clustered_by(spark, f"{layer}.{earlier[-1]}")
+    written = _write_days(rows, layer, short, day, cluster_by)
     kept = {d: at for d, at in _places(spark, layer, earlier[-1]).items() if d not in gone}
     generation = _next(earlier, short)
-    _show_days(spark, layer, short, generation, current, day, kept | written)
+    _show_days(spark, layer, short, generation, current, day, kept | written, cluster_by)
     _repoint(spark, full_name(name), f"{layer}.{generation}", _comment(spark, full_name(name)), properties)
     _drop(spark, layer, short, earlier[:-1])
     return spark.table(full_name(name))
@@ -144,12 +152,26 @@ def _layer_place(spark: SparkSession, layer: str) -> str:
     return next(r[1] for r in rows if r[0] == "Location").rstrip("/")
 
 
-def _write_days(df: DataFrame, layer: str, short: str, day: str) -> dict[str, str]:
+def _clustered_writer(df: DataFrame, cluster_by: tuple[str, ...], day: str | None = None) -> DataFrameWriter:
+    """A writer whose files hold the rows in the order of ``cluster_by``, in pages of few rows."""
+    if not cluster_by:
+        return df.write
+    # the day first: Spark then writes day by day without sorting anew
+    rows = df.sortWithinPartitions(*([day] if day else []), *cluster_by)
+    return rows.write.option("parquet.page.row.count.limit", str(CLUSTER_PAGE_ROWS))
+
+
+def _clustered_by(spark: SparkSession, generation: str) -> tuple[str, ...]:
+    found = spark.sql(f"SHOW TBLPROPERTIES {generation}").collect()
+    return tuple(json.loads(next((r.value for r in found if r.key == _CLUSTERED), "[]")))
+
+
+def _write_days(df: DataFrame, layer: str, short: str, day: str, cluster_by: tuple[str, ...] = ()) -> dict[str, str]:
     """Write the rows by day in a new directory; day as text ('' is NULL) to the day's place."""
     spark = df.sparkSession
     root = f"{_layer_place(spark, layer)}/{short}.days/{uuid.uuid4().hex}"
     # rebalancing keeps files few and splits a day that holds far more rows
-    df.hint("rebalance", day).write.partitionBy(day).parquet(root)
+    _clustered_writer(df.hint("rebalance", day), cluster_by, day).partitionBy(day).parquet(root)
     # partition values alone: no column of the files is read
     held = spark.read.schema(df.schema).parquet(root).select(F.col(day).cast("string")).distinct().collect()
     null = "__HIVE_DEFAULT_PARTITION__"
@@ -157,14 +179,16 @@ def _write_days(df: DataFrame, layer: str, short: str, day: str) -> dict[str, st
 
 
 def _show_days(
-    spark: SparkSession, layer: str, short: str, generation: str, like: DataFrame, day: str, places: dict[str, str]
-) -> None:
+    spark: SparkSession, layer: str, short: str, generation: str, like: DataFrame, day: str, places: dict[str, str],
+    cluster_by: tuple[str, ...] = (),
+) -> None:
     """A table whose days lie in the given places, and the list of them for the next generation."""
     place = _layer_place(spark, layer)
     columns = ", ".join(_column(f) for f in like.schema.fields)
+    sorting = json.dumps(cluster_by).replace("'", "''")
     spark.sql(
         f"CREATE TABLE {layer}.{generation} ({columns}) USING parquet PARTITIONED BY (`{day}`) "
-        f"LOCATION '{place}/{short}.days/none'"
+        f"LOCATION '{place}/{short}.days/none' TBLPROPERTIES ('{_CLUSTERED}' = '{sorting}')"
     )
     listed = sorted(places.items())
     for at in range(0, len(listed), _DAYS_A_STATEMENT):
