@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tests.test_records import envelope, response, responses
 from tests.test_refresh_days import FEEDS
+from workloads import feeds, kept
 from zephyrload import schemas
 from zephyrload.operators import gaps, lookups, quality, steps
 from zephyrload.plans import gold, loads, refresh
@@ -92,6 +93,23 @@ def test_pending_loads_are_refreshed_without_dates(spark, layers):
     assert refresh.refresh_pending(spark) == []
 
 
+def test_pages_of_an_hour_keep_their_own_numbers(spark, layers, tmp_path):
+    """Several pages an hour, of fewer records than the service's own pages have, and pages astray beside them."""
+    ids = [0, 1, 999, 1000, 4999, 5000, 9_999_999, 10_000_000, 10_000_001, 10_001_000]
+    events = [(i, datetime(2024, 1, 3, 5, n), 7, "view", float(n), '{"k": 1}') for n, i in enumerate(ids)]
+    kinds = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(events, kinds).write.parquet(str(tmp_path / "events.parquet"))
+    chunks = {i // feeds.PAGE for i in ids}
+    held = []
+    for batch in kept._deliveries(spark, str(tmp_path)):
+        kept._load_pages(spark, batch)
+        for name in FEEDS:
+            landed = tables.stored(spark, name)
+            assert landed.count() == landed.select(*schemas.LANDING_KEY).distinct().count() == 2 * len(chunks)
+            held.append(landed.agg(F.sum("record_count")).first()[0])
+    assert held == [2 * len(ids)] * 3 + [len(ids)] * 3  # the second load withdraws the pages astray
+
+
 def test_spans_keep_records_of_pages_outside(spark, layers):
     """``refresh_days`` of 2 July keeps the record that a page of 1 July holds."""
     hours = [f"2026-07-0{d}T{h:02d}" for d in (1, 2) for h in range(24)]
