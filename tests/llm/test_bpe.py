@@ -78,6 +78,22 @@ def test_memory_bound_changes_nothing(library):
     assert small.chunks.held <= 2000 and small.fragments.held <= 2000
 
 
+def test_equal_chunks_are_looked_up_once(library):
+    """The cost of frequent words is not a lookup for each occurrence."""
+    asked = []
+
+    class Counted(bpe.Remembered):
+        def get(self, key):
+            asked.append(key)
+            return super().get(key)
+
+    ours = bpe.ByteBpe(PATH)
+    ours.chunks, ours.fragments = Counted(1 << 20), Counted(1 << 20)
+    texts = ["so the words of it come again and the words of it go again " * 40, "", "the words" * 3, "\uffff the \U0001f600 words"] * 5
+    assert [numbers(f) for f in ours.encode([t.encode() for t in texts])] == library_ids(library, texts)
+    assert len(asked) < 100
+
+
 def test_decode_like_the_library(library, ours):
     r = random.Random(4)
     for _ in range(300):

@@ -7,8 +7,8 @@ is white space, the file's own splitting cuts there too, whatever stands around.
 cuts divide the text into chunks, found for a whole batch at once. A chunk is split as
 the file says, and every word of it is cut again at each pair of bytes that is inside no
 token; the fragments are encoded apart, all fragments not met before in one array, and
-a text's ids are the concatenation of its fragments' ids. A worker process remembers
-chunks and fragments up to a number of bytes.
+a text's ids are the concatenation of its fragments' ids. Equal chunks of a batch, and
+equal fragments, are looked up once, and a worker process remembers chunks and fragments up to a number of bytes.
 
 Decoding looks up the bytes of each id and concatenates them; bytes that are no UTF-8
 become U+FFFD, ids outside the vocabulary nothing.
@@ -28,7 +28,7 @@ import json
 import re
 import sys
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -41,7 +41,7 @@ from zephyrload.llm.common import added_name, bound_batches, per_process, quoted
 #: What a worker process remembers of chunks, in bytes; of fragments it remembers a third of that.
 MEMORY_BYTES = 192 << 20
 #: Chunks looked up at a time.
-WINDOW = 1 << 16
+WINDOW = 1 << 18
 #: Fragments up to this length are merged side by side in an array, longer ones with a heap.
 ARRAY_BYTES = 24
 _ENTRY = 180  # bytes of a dictionary entry besides its key and value
@@ -132,6 +132,8 @@ class ByteBpe:
         keys = left * size + right
         self._keys, self._ranks = np.unique(keys, return_index=True)  # a pair's first rank
         self._by_rank = made
+        every = np.arange(1 << 16)
+        self._byte_ranks = self._rank(self.of_byte[every >> 8], self.of_byte[every & 255])
         self._rank_of: dict[int, int] | None = None
 
         self.inside = inside_pairs(self.vocab)
@@ -176,21 +178,18 @@ class ByteBpe:
         edge[1:-1] = self._chunk_cuts(data)
         edge[ends] = True
         edges = np.flatnonzero(edge)
-        # a part's chunks, as positions among the edges
-        upto = np.searchsorted(edges, ends).tolist()
-        at = edges.tolist()
+        # where a window's ids of each part end
+        upto = np.searchsorted(edges, ends)
         out: list[list[bytes]] = [[] for _ in parts]
-        part, begun = 0, 0
-        for low in range(0, len(at) - 1, WINDOW):
-            high = min(low + WINDOW, len(at) - 1)
-            ids = self._chunk_ids([data[a:b] for a, b in zip(at[low:high], at[low + 1 : high + 1], strict=True)])
-            while part < len(parts):
-                stop = min(upto[part], high)
-                out[part].append(b"".join(ids[begun - low : stop - low]))
-                begun = stop
-                if upto[part] > high:
-                    break
-                part += 1
+        part = 0
+        for low in range(0, len(edges) - 1, WINDOW):
+            high = min(low + WINDOW, len(edges) - 1)
+            ids, at = _looked_up(data, edges[low : high + 1], self.chunks, self._split_and_encode)
+            last = int(np.searchsorted(upto, high))  # the part that goes on behind the window, or ends with it
+            stops = at[np.minimum(upto[part : last + 1], high) - low].tolist()
+            for i, (begun, stop) in enumerate(zip([0, *stops], stops, strict=False), part):
+                out[i].append(ids[begun:stop])
+            part = last + (upto[last] == high)
         return [found[0] if len(found) == 1 else b"".join(found) for found in out]
 
     def _chunk_cuts(self, data: bytes) -> np.ndarray:
@@ -201,18 +200,6 @@ class ByteBpe:
         cut[wide[wide < len(data)] - 1] = False
         return cut
 
-    def _chunk_ids(self, chunks: list[bytes]) -> list[bytes]:
-        known = self.chunks
-        ids = list(map(known.get, chunks))
-        missing = [i for i, found in enumerate(ids) if found is None]
-        if missing:
-            fresh = list({chunks[i] for i in missing})
-            known.add(fresh, self._split_and_encode(fresh))
-            made = known.latest
-            for i in missing:
-                ids[i] = made[chunks[i]]
-        return ids
-
     def _split_and_encode(self, chunks: list[bytes]) -> list[bytes]:
         """Words of every chunk, fragments of every word, their ids concatenated."""
         near = [c for c in chunks if _BETWEEN not in c and max(c) < _FAR]
@@ -244,19 +231,9 @@ class ByteBpe:
         starts = np.append(0, ends[:-1] + len(_BETWEEN))
         edge[starts] = edge[ends] = True
         edges = np.flatnonzero(edge)
-        first, last = np.searchsorted(edges, starts).tolist(), np.searchsorted(edges, ends).tolist()
-        at = edges.tolist()
-        fragments = [data[a:b] for a, b in zip(at, at[1:], strict=False)]
-        known = self.fragments
-        ids = list(map(known.get, fragments))
-        missing = [i for i, found in enumerate(ids) if found is None]
-        if missing:
-            fresh = list({fragments[i] for i in missing})
-            known.add(fresh, self.merge(fresh))
-            made = known.latest
-            for i in missing:
-                ids[i] = made[fragments[i]]
-        return [b"".join(ids[a:b]) for a, b in zip(first, last, strict=True)]
+        ids, at = _looked_up(data, edges, self.fragments, self.merge)
+        first, last = at[np.searchsorted(edges, starts)].tolist(), at[np.searchsorted(edges, ends)].tolist()
+        return [ids[a:b] for a, b in zip(first, last, strict=True)]
 
     def merge(self, fragments: list[bytes]) -> list[bytes]:
         """Ids of fragments, each merged by itself."""
@@ -291,7 +268,10 @@ class ByteBpe:
         count = np.array([len(f) for f in fragments])
         ids = np.where(np.arange(width) < count[:, None], self.of_byte[raw], -1)
         ids = np.concatenate([ids, np.full((n, 1), -1)], axis=1)
-        ranks = self._rank(ids[:, :-1], ids[:, 1:])
+        # ranks of neighbours among the bytes; the last one of a row has none
+        ranks = np.full((n, width), none)
+        pairs = self._byte_ranks[(raw[:, :-1].astype(np.uint16) << np.uint16(8)) | raw[:, 1:]]
+        ranks[:, :-1] = np.where(np.arange(1, width) < count[:, None], pairs, none)
         rows = np.arange(n)
         columns = np.arange(width)
         while len(rows):
@@ -372,25 +352,59 @@ class ByteBpe:
 
 
 class Remembered(dict):
-    """Ids of byte strings, up to a number of bytes; ``latest`` holds those added last."""
+    """Ids of byte strings, up to a number of bytes."""
 
     def __init__(self, most: int):
         super().__init__()
-        self.most, self.held, self.latest = most, 0, {}
+        self.most, self.held = most, 0
 
     def add(self, keys: list[bytes], values: list[bytes]) -> None:
-        self.latest = dict(zip(keys, values, strict=True))
-        # long strings seldom come again
-        lasting = {k: v for k, v in self.latest.items() if len(k) <= 64}
-        size = sum(map(len, lasting)) + sum(map(len, lasting.values())) + _ENTRY * len(lasting)
+        """Remember keys not held yet."""
+        if max(map(len, keys)) > 64:  # long strings seldom come again
+            lasting = [(k, v) for k, v in zip(keys, values, strict=True) if len(k) <= 64]
+            keys, values = [k for k, _ in lasting], [v for _, v in lasting]
+        size = sum(map(len, keys)) + sum(map(len, values)) + _ENTRY * len(keys)
         if self.held + size > self.most:
             self.clear()
             self.held = 0
         if size <= self.most:
-            self.update(lasting)
+            self.update(zip(keys, values, strict=True))
             self.held += size
 
 
+def _looked_up(
+    data: bytes, edges: np.ndarray, known: Remembered, encode: Callable[[list[bytes]], list[bytes]]
+) -> tuple[bytes, np.ndarray]:
+    """Ids of the strings between neighbouring edges, one after the other, and at each edge the bytes before it.
+
+    Every distinct string is looked up once, and encoded if it is not known.
+    """
+    bounds = np.ascontiguousarray(edges, np.int64)
+    strings = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+    coded = strings.dictionary_encode()
+    _, ends, held = coded.dictionary.buffers()
+    held = held.to_pybytes()
+    ends = np.frombuffer(ends, np.int64, len(coded.dictionary) + 1).tolist()
+    distinct = [held[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+    ids = list(map(known.get, distinct))
+    missing = [i for i, found in enumerate(ids) if found is None]
+    if missing:
+        fresh = [distinct[i] for i in missing]
+        made = encode(fresh)
+        known.add(fresh, made)
+        for i, found in zip(missing, made, strict=True):
+            ids[i] = found
+    nth = coded.indices.to_numpy()
+    counts = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+    starts = np.cumsum(counts) - counts
+    counts = counts[nth]
+    at = np.zeros(len(edges), np.int64)
+    np.cumsum(counts, out=at[1:])
+    shift = np.repeat(starts[nth] - at[:-1], counts)
+    shift += np.arange(len(shift))
+    return np.frombuffer(b"".join(ids), "<u4")[shift].tobytes(), 4 * at
+
+
 def inside_pairs(tokens) -> np.ndarray:
     """For each pair of bytes, as 256 * left + right: does any token hold the two side by side?"""
     inside = np.zeros(1 << 16, bool)
