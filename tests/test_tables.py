@@ -1,11 +1,14 @@
 import json
+import random
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tests.test_records import envelope, response, responses
 from zephyrload import schemas
 from zephyrload.operators.dedupe import export_order, sorted_by_key
+from zephyrload.operators.upserts import staged
 from zephyrload.plans import refresh
 from zephyrload.session import fresh_path, shared_folder
 from zephyrload.sources import tables
@@ -158,3 +161,42 @@ def test_newest_rows_reads_back_no_further_than_needed(spark):
     assert len(found.inputFiles()) < len(stored.inputFiles()) / 2
     assert [r.n for r in newest_rows(stored, days).collect()] == [39]
     assert newest_rows(stored.filter("zone = 'X'"), days).count() == 0 == newest_rows(stored, []).count()
+
+
+def row_groups(folder):
+    """(rows, compressed bytes) of every row group of the files below a folder."""
+    held = [pq.read_metadata(p) for p in folder.rglob("*.parquet") if "/list-" not in str(p)]
+    return [(m.row_group(i).num_rows, sum(m.row_group(i).column(c).total_compressed_size for c in range(m.num_columns)))
+            for m in held for i in range(m.num_row_groups)]
+
+
+def test_files_of_payloads_have_small_row_groups(spark, tmp_path):
+    """Readers take a row group's rows at once, up to 4,096 of them: hundreds of megabytes of pages."""
+    limit = int(tables.PAYLOAD_GROUPS["parquet.block.row.count.limit"])
+    pages = landing_rows(responses(spark, *[response(5000 * n, 200, envelope({"value": n})) for n in range(500)]))
+    pages = tables.by_utc_day(pages, "target_dt").coalesce(1)
+    with tables.layers_named("groups_"):
+        tables.create_layers(spark, str(tmp_path / "layers"))
+        tables.publish(pages, "landing.whole", "")
+        tables.publish(pages, "landing.by_day", "", ("utc_day",))
+        tables.publish_days(pages, "landing.by_day")
+        shown = [staged(pages, "pages"), tables.stored(spark, "landing.whole"), tables.stored(spark, "landing.by_day")]
+        for df in shown:
+            assert rows(df, *schemas.LANDING_KEY, "response_hash") == rows(pages, *schemas.LANDING_KEY, "response_hash")
+    tables.writer_of(pages).parquet(str(tmp_path / "alone"))
+    assert sorted(n for n, _ in row_groups(tmp_path / "alone")) == sorted([limit] * (500 // limit) + [500 % limit])
+    found = row_groups(tmp_path / "layers")
+    assert sum(n for n, _ in found) == 1500 and max(n for n, _ in found) == limit
+    # rows without payloads keep the usual groups
+    tables.writer_of(pages.drop("raw_response")).parquet(str(tmp_path / "keys"))
+    assert row_groups(tmp_path / "keys")[0][0] == 500
+
+
+def test_row_groups_of_large_payloads_end_early(spark, tmp_path):
+    """Payloads of 400 KB that hardly shrink."""
+    chance = random.Random(5)
+    texts = [(chance.randbytes(200_000).hex(),) for _ in range(60)]
+    large = spark.createDataFrame(texts, "body string").select(F.to_variant_object(F.struct("body")).alias("v"))
+    tables.writer_of(large.coalesce(1)).parquet(str(tmp_path / "large"))
+    found = row_groups(tmp_path / "large")
+    assert sum(n for n, _ in found) == 60 and max(size for _, size in found) < 3 * (4 << 20)
