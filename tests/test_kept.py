@@ -3,6 +3,7 @@
 import random
 from datetime import date, datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +111,18 @@ def test_pages_of_an_hour_keep_their_own_numbers(spark, layers, tmp_path):
     assert held == [2 * len(ids)] * 3 + [len(ids)] * 3  # the second load withdraws the pages astray
 
 
+def test_a_page_asked_for_again_has_the_same_text(spark, tmp_path):
+    """Whatever order its events are read in, also such without an id or with the same one."""
+    ids = [None, 3, 3, *range(40)]
+    events = [(i, datetime(2024, 1, 3, 5, n), n % 5, "view", float(n), '{"k": 1}') for n, i in enumerate(ids)]
+    kinds = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    found = []
+    for name, order in (("up", events), ("down", events[::-1])):
+        spark.createDataFrame(order, kinds).coalesce(1).write.parquet(str(tmp_path / name / "events.parquet"))
+        found.append(rows(feeds.saved_responses(spark, str(tmp_path / name)), "target_dt", "offset_start", "body"))
+    assert found[0] == found[1] and len(found[0]) == 2
+
+
 def test_spans_keep_records_of_pages_outside(spark, layers):
     """``refresh_days`` of 2 July keeps the record that a page of 1 July holds."""
     hours = [f"2026-07-0{d}T{h:02d}" for d in (1, 2) for h in range(24)]
@@ -291,6 +304,17 @@ def test_compacted_log_equals_the_whole_log(spark, layers):
     same()
 
 
+def test_the_log_has_small_row_groups(spark, tmp_path):
+    """A reader takes up to 4,096 rows of a row group at once, each with its payload."""
+    pages = [response(5000 * n, 200, envelope({"period": "2026-07-01T00", "value": n}), "2026-07-01T00") for n in range(200)]
+    responses(spark, *pages).coalesce(1).write.json(str(tmp_path / "arrivals"))
+    incremental.append_new_responses(spark, *(str(tmp_path / name) for name in ("arrivals", "log", "checkpoint")))
+    assert incremental.read_log(spark, str(tmp_path / "log")).count() == 200
+    files = [pq.read_metadata(p) for p in (tmp_path / "log").rglob("*.parquet")]
+    groups = [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)]
+    assert sum(groups) == 200 and max(groups) <= int(tables.PAYLOAD_GROUPS["parquet.block.row.count.limit"])
+
+
 SPAN = ("2024-01-02T05", "2024-01-06T03")
 
 

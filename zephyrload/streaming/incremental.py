@@ -20,7 +20,7 @@ from zephyrload.operators.dedupe import keep_first
 from zephyrload.operators.upserts import staged
 from zephyrload.schemas import SAVED_RESPONSE
 from zephyrload.sources.landing import landing_rows
-from zephyrload.sources.tables import on_days, property_of, publish, publish_days, stored, table_exists
+from zephyrload.sources.tables import on_days, payload_writer, property_of, publish, publish_days, stored, table_exists
 
 # VARIANT columns are kept as JSON text in the log, which every file sink takes.
 _PAYLOAD = "raw_response"
@@ -42,7 +42,7 @@ def append_new_responses(
 
     def keep(batch: DataFrame, number: int) -> None:
         numbered = batch.withColumn("batch", F.lit(number).cast("bigint"))
-        writer = numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = payload_writer(numbered).mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("batch", "target_day").parquet(log)
 
     query = (
